@@ -19,6 +19,7 @@ empty result; only the id and text columns are read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import scratch
+from .sieve import possibly_in
 from .text import shingles_of, slices
 
 #: The proven bound of what is broadcast: 4 bytes a cell.
@@ -67,14 +69,17 @@ def cell_counts(texts: DataFrame, n: int) -> np.ndarray:
     return np.minimum(cells, (1 << 31) - 1).astype(np.int32)
 
 
-def least_overlap(size: Column, percent: int) -> Column:
-    """The overlap that a set of this size needs with any partner."""
-    return F.ceil(size * percent / 100.0).cast("int")
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values.view(np.int64)))
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, size, d1, d2 (identity of the set), tokens (ascending) and prefix (rarest first), one row per row of docs."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    """doc_id, size, d1, d2 (identity of the set) and prefix (rarest first), one row per row of docs."""
+    texts = _texts(docs, id_col, text_col)
     counts = docs.sparkSession.sparkContext.broadcast(cell_counts(texts.select("text"), n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +96,24 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: s
                     prefixes.append(row[order])
                     lengths.append(keep)
                 flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.uint64)
-                lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]), pa.int32()), pa.array(v.view(np.int64))) for k, v in ((sizes, hashes), (lengths, flat))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), *lists], ["doc_id", "size", "tokens", "prefix"])
+                seeds = (hashlib.blake2b(hashes[end - size : end].tobytes(), digest_size=16).digest() for end, size in zip(ends.tolist(), sizes.tolist(), strict=True))
+                digests = np.frombuffer(b"".join(seeds), np.int64).reshape(-1, 2)
+                prefix = _lists(flat, np.array(lengths, np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), prefix], ["doc_id", "size", "d1", "d2", "prefix"])
+
+    return texts.mapInArrow(run, "doc_id long, size long, d1 long, d2 long, prefix array<long>")
+
+
+def token_sets(texts: DataFrame, n: int) -> DataFrame:
+    """doc_id and tokens, the whole set of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                hashes, sizes = shingles_of(part.column("text"), n)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(hashes, sizes)], ["doc_id", "tokens"])
 
-    rows = texts.mapInArrow(run, "doc_id long, size long, tokens array<long>, prefix array<long>")
-    return rows.select("doc_id", "size", F.xxhash64(F.lit(1), "tokens").alias("d1"), F.xxhash64(F.lit(2), "tokens").alias("d2"), "tokens", "prefix")
+    return texts.mapInArrow(run, "doc_id long, tokens array<long>")
 
 
 def _room(percent: int) -> Column:
@@ -105,9 +123,11 @@ def _room(percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b that link."""
-    a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b"))
+    """The pairs a, b that link. Only sets that a pair names are shuffled."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    some = possibly_in(sets, named, "doc_id")
+    a = some.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
+    b = some.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     links = 100 * both >= percent * (F.size("tokens_a") + F.size("tokens_b") - both)
     return pairs.join(a, "a").join(b, "b").where(links).select("a", "b")
@@ -115,19 +135,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of docs."""
-    table = scratch(shingle_sets(docs, n, percent, id_col, text_col), "sets")
+    table = scratch(shingle_sets(docs, n, percent, id_col, text_col), "prefixes")
     known = table.where("doc_id is not null and size > 0")
-    classes = scratch(known.groupBy("size", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
-    heads = known.join(classes, ["size", "d1", "d2"]).where("doc_id = rep")
-    # an id may head several sets where it repeats; they are told apart by their own number
-    held = scratch(heads.select(F.xxhash64("doc_id", "d1", "d2").alias("key"), F.col("doc_id").alias("rep"), "size", "tokens", "prefix").dropDuplicates(["key"]), "held")
-    sets = held.select(F.col("key").alias("doc_id"), "tokens")
-    entries = held.select("key", "rep", "size", F.posexplode("prefix").alias("pos", "token"))
-    met = entries.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("token")
+    classes = scratch(known.groupBy("size", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
+    copies = classes.where("n > 1").select("size", "d1", "d2", F.col("rep").alias("head"))
+    # sets are known by the id that holds them; the sets of a repeated id share its component
+    heads = known.join(copies, ["size", "d1", "d2"], "left").where("head is null or head = doc_id")
+    entries = heads.select(F.col("doc_id").alias("rep"), F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token"))
+    met = entries.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("token")
     shared = scratch(entries.join(met, "token", "left_semi"), "shared")
-    members = known.join(classes, ["size", "d1", "d2"]).select("doc_id", "rep").distinct()
-    links = [scratch(members.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b"), "links")]
-    by_rep = held.select("key", "rep")
+    listed = shared.select(F.col("rep").alias("doc_id"))
+    sets = scratch(token_sets(possibly_in(_texts(docs, id_col, text_col), listed, "doc_id"), n), "sets")
+    links = [scratch(known.join(copies, ["size", "d1", "d2"]).where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b")).distinct(), "links")]
 
     def labelled() -> DataFrame:
         all_links = links[0]
@@ -135,10 +154,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
             all_links = all_links.unionByName(more)
         return scratch(components(all_links), "labels")
 
-    def store(pairs: DataFrame) -> int:
-        found = verified(scratch(pairs.distinct(), "pairs"), sets, percent)
-        a, b = by_rep.select(F.col("key").alias("a"), F.col("rep").alias("rep_a")), by_rep.select(F.col("key").alias("b"), F.col("rep").alias("rep_b"))
-        links.append(scratch(found.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links"))
+    def store(pairs: DataFrame) -> None:
+        ordered = pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
+        links.append(scratch(verified(scratch(ordered, "pairs"), sets, percent), "links"))
 
     def with_component(labels: DataFrame | None) -> DataFrame:
         if labels is None:
@@ -148,19 +166,17 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     labels = None
     for k in range(rounds):
         now = with_component(labels)
-        lead = now.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(k), "key").alias("order"), "key", "size", "pos", "comp")).alias("lead"))
-        lead = lead.select("token", F.col("lead.key").alias("key_b"), F.col("lead.size").alias("size_b"), F.col("lead.pos").alias("pos_b"), F.col("lead.comp").alias("comp_b"))
-        pairs = now.join(lead, "token").where((F.col("comp") != F.col("comp_b")) & _room(percent))
-        store(pairs.select(F.greatest("key", "key_b").alias("a"), F.least("key", "key_b").alias("b")))
+        lead = now.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(k), "rep").alias("order"), "rep", "size", "pos", "comp")).alias("lead"))
+        lead = lead.select("token", *[F.col(f"lead.{c}").alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
+        store(now.join(lead, "token").where((F.col("comp") != F.col("comp_b")) & _room(percent)))
         labels = labelled()
     # the rest: lists that still hold several components, blocked by size class
     now = with_component(labels)
     several = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     left = scratch(now.join(several, "token", "left_semi").withColumn("class", F.floor(F.log("size") / np.log(100.0 / percent)).cast("int")), "left")
     probe = left.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1, F.col("class") + 1)))
-    lists = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in ("key", "size", "pos", "comp")])
-    pairs = probe.join(lists, ["token", "class"]).where((F.col("comp") != F.col("comp_b")) & (F.struct("size", "key") > F.struct("size_b", "key_b")) & _room(percent))
-    store(pairs.select(F.greatest("key", "key_b").alias("a"), F.least("key", "key_b").alias("b")))
+    lists = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
+    store(probe.join(lists, ["token", "class"]).where((F.col("comp") != F.col("comp_b")) & (F.struct("size", "rep") > F.struct("size_b", "rep_b")) & _room(percent)))
     labels = labelled()
     out = table.select("doc_id", F.col("size").alias("n_shingles")).join(labels, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

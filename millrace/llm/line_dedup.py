@@ -9,7 +9,7 @@ second all are neighbours of the whole line, so pairs grow with the lines of a g
 square, and each pair is verified by its edit distance.
 
 The text itself is shuffled once, to join each document with the positions it keeps; before that only hashes
-and ids are, and the lines with possible neighbours, picked by a bitmap of ``BITMAP_BITS`` bits, which is
+and ids are, and the lines with possible neighbours, picked by a bitmap of ``sieve.BITMAP_BITS`` bits, which is
 the proven bound of what is broadcast.
 
 Defined results: lines without a word stay and are compared with nothing; null text stays null; null doc_id
@@ -24,10 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import scratch
+from .sieve import possibly_in
 
 WORDED = r"[^\x20\x09-\x0D]"
-#: 8 MB
-BITMAP_BITS = 1 << 26
 
 
 def _hash(*parts: Column | str) -> Column:
@@ -65,15 +64,6 @@ def possible_neighbours(lines: DataFrame) -> DataFrame:
     return keys.join(shared, "key", "left_semi").select("h1", "h2").distinct()
 
 
-def _with_bitmap(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rows whose h1 may be among those wanted: all that are, and few others."""
-    spot = lambda: F.pmod(F.col("h1"), F.lit(BITMAP_BITS)) + 1
-    bits = wanted.groupBy(F.bitmap_bucket_number(spot()).alias("_md_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot())).alias("_md_bits"))
-    probed = rows.withColumn("_md_at", F.bitmap_bit_position(spot())).withColumn("_md_bucket", F.bitmap_bucket_number(spot())).join(F.broadcast(bits), "_md_bucket")
-    byte = F.conv(F.hex(F.substring("_md_bits", F.floor(F.col("_md_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return probed.where(F.floor(byte / F.pow(F.lit(2), F.col("_md_at") % 8)) % 2 == 1).drop("_md_bucket", "_md_at", "_md_bits")
-
-
 def neighbour_pairs(texts: DataFrame) -> DataFrame:
     """h1, place, line of each line and of an earlier line one edit away, for every line that has one.
 
@@ -101,7 +91,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = scratch(distinct_lines(docs, id_col, text_col), "lines")
     may = scratch(possible_neighbours(lines), "may")
     found = _rows(docs, id_col, text_col).select(_hash("1", F.col("line")).alias("h1"), _hash("2", F.col("line")).alias("h2"), "line")
-    found = _with_bitmap(found, may.select("h1")).groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    found = possibly_in(found, may, "h1").groupBy("h1", "h2").agg(F.first("line").alias("line"))
     texts = scratch(found.join(may, ["h1", "h2"]).join(lines.select("h1", "h2", "first"), ["h1", "h2"]).select("h1", "first", "line"), "texts")
     gone = neighbour_pairs(texts).select("h1", F.lit(True).alias("gone")).distinct()
     stay = lines.join(gone, "h1", "left").where("gone is null")
