@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scratch import scratch
 
 
-def _print(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """edges as a written table, and their number and a sum of hashes, taken while they are written."""
+    seen = Observation()
+    table = scratch(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")), "edges")
+    return table, (seen.get["n"], seen.get["hashes"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,11 +34,9 @@ def components(links: DataFrame) -> DataFrame:
 
     links: a and b, longs without null; any order, repeats allowed; a link of a node to itself is void.
     """
-    edges = scratch(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = _print(edges)
+    edges, seen = _written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while seen[0]:
-        edges = scratch(_small_star(scratch(_large_star(edges), "large")), "edges")
-        now = _print(edges)
+        edges, now = _written(_small_star(_large_star(edges)))
         if now == seen:
             break
         seen = now

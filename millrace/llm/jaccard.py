@@ -1,20 +1,22 @@
 """N-gram Jaccard join by prefix lists with set-relation skipping.
 
-Documents with one shingle set are one set, held by the smallest id. Each set lists its shingles rarest
+Documents with one shingle set are one class, held by the smallest id. Each class lists its shingles rarest
 first, by a sketch of document counts with ``CELLS`` cells (any order gives the same links; a good one keeps
 lists short), and enters the index lists of its prefix. Lists are blocked by size class, and a pair of
-entries is skipped unless sizes and positions leave room for the overlap that the threshold asks for.
+entries is skipped unless sizes and positions leave room for the overlap that the threshold asks for. A pair
+that is left must pass a bound of its overlap, from each set's counts over ``PARTS`` parts of the hash
+range, before whole sets are made and compared.
 
-Answers are derived from those of similar sets: in each round every list has one leader, the others are
-verified against it, and a set that links takes over the leader's component with all its answers. Sets of
-one component are then never compared again, so a group of n near copies costs about n comparisons a
-round. The last round compares all pairs of entries that the rounds left in different components, so no link
-between components is lost.
+Answers are derived from those of similar sets: every list has up to ``LEADS`` leaders, the others are
+verified against them, and a set that links takes over the leader's component with all its answers. Sets of
+one component are then never compared again, so a group of n near copies costs about n comparisons. The
+last round compares the pairs of entries, neither of them a leader, that are still in different components,
+so no link between components is lost.
 
 Nothing but the sketch goes to the driver. Defined results: null or wordless text has an empty set and is
 linked with nothing; fewer words than n make one shingle; null ids give a row with a null component and are
-not joined; rows of a repeated id with different texts share the id's component; an empty table gives an
-empty result; only the id and text columns are read.
+not joined; rows that repeat an id are each judged by their own text, and sets held by one id share its
+component; an empty table gives an empty result; only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from .text import shingles_of, slices
 
 #: The proven bound of what is broadcast: 4 bytes a cell.
 CELLS, BLOCK = 1 << 20, 1 << 14
-ROUNDS = 2
+PARTS, LEADS, SALTS = 64, 3, 64
 
 
 def _count(n: int):
@@ -78,7 +80,7 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, size, d1, d2 (identity of the set) and prefix (rarest first), one row per row of docs."""
+    """doc_id, size, d1, d2 (identity of the set), prefix (rarest first) and parts (shingles per part of the hash range), one row per row of docs."""
     texts = _texts(docs, id_col, text_col)
     counts = docs.sparkSession.sparkContext.broadcast(cell_counts(texts.select("text"), n))
 
@@ -99,9 +101,12 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: s
                 seeds = (hashlib.blake2b(hashes[end - size : end].tobytes(), digest_size=16).digest() for end, size in zip(ends.tolist(), sizes.tolist(), strict=True))
                 digests = np.frombuffer(b"".join(seeds), np.int64).reshape(-1, 2)
                 prefix = _lists(flat, np.array(lengths, np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), prefix], ["doc_id", "size", "d1", "d2", "prefix"])
+                at = np.repeat(np.arange(len(sizes)), sizes) * PARTS + (hashes >> np.uint64(58)).astype(np.int64)
+                parts = np.bincount(at, minlength=len(sizes) * PARTS).astype("<u4").reshape(-1, PARTS)
+                columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), prefix, pa.array([row.tobytes() for row in parts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "d1", "d2", "prefix", "parts"])
 
-    return texts.mapInArrow(run, "doc_id long, size long, d1 long, d2 long, prefix array<long>")
+    return texts.mapInArrow(run, "doc_id long, size long, d1 long, d2 long, prefix array<long>, parts binary")
 
 
 def token_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -122,64 +127,71 @@ def _room(percent: int) -> Column:
     return most * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b that link. Only sets that a pair names are shuffled."""
+def possible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose counts per part allow the overlap that is asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, PARTS).astype(np.int64) for c in ("parts_a", "parts_b"))
+                most = np.minimum(a, b).sum(1)
+                fits = pa.array(100 * most >= percent * (a.sum(1) + b.sum(1) - most))
+                yield batch.select(["a", "b"]).filter(fits)
+
+    a = parts.select(F.col("rep").alias("a"), F.col("parts").alias("parts_a"))
+    b = parts.select(F.col("rep").alias("b"), F.col("parts").alias("parts_b"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "parts_a", "parts_b").mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs a, b that link. Sets are made and shuffled only for documents that a pair names; those of a leader go out in SALTS shares."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    some = possibly_in(sets, named, "doc_id")
-    a = some.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    b = some.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b"))
+    sets = scratch(token_sets(possibly_in(texts, named, "doc_id"), n), "sets")
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    leaders = salted.select("b", "salt").distinct().join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     links = 100 * both >= percent * (F.size("tokens_a") + F.size("tokens_b") - both)
-    return pairs.join(a, "a").join(b, "b").where(links).select("a", "b")
+    own = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
+    return salted.join(leaders, ["b", "salt"]).join(own, "a").where(links).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of docs."""
+    texts = _texts(docs, id_col, text_col)
     table = scratch(shingle_sets(docs, n, percent, id_col, text_col), "prefixes")
-    known = table.where("doc_id is not null and size > 0")
-    classes = scratch(known.groupBy("size", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
-    copies = classes.where("n > 1").select("size", "d1", "d2", F.col("rep").alias("head"))
-    # sets are known by the id that holds them; the sets of a repeated id share its component
-    heads = known.join(copies, ["size", "d1", "d2"], "left").where("head is null or head = doc_id")
-    entries = heads.select(F.col("doc_id").alias("rep"), F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token"))
-    met = entries.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("token")
-    shared = scratch(entries.join(met, "token", "left_semi"), "shared")
-    listed = shared.select(F.col("rep").alias("doc_id"))
-    sets = scratch(token_sets(possibly_in(_texts(docs, id_col, text_col), listed, "doc_id"), n), "sets")
-    links = [scratch(known.join(copies, ["size", "d1", "d2"]).where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b")).distinct(), "links")]
-
-    def labelled() -> DataFrame:
-        all_links = links[0]
-        for more in links[1:]:
-            all_links = all_links.unionByName(more)
-        return scratch(components(all_links), "labels")
-
-    def store(pairs: DataFrame) -> None:
-        ordered = pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
-        links.append(scratch(verified(scratch(ordered, "pairs"), sets, percent), "links"))
-
-    def with_component(labels: DataFrame | None) -> DataFrame:
-        if labels is None:
-            return shared.withColumn("comp", F.col("rep"))
-        return shared.join(labels, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
-
-    labels = None
-    for k in range(rounds):
-        now = with_component(labels)
-        lead = now.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(k), "rep").alias("order"), "rep", "size", "pos", "comp")).alias("lead"))
-        lead = lead.select("token", *[F.col(f"lead.{c}").alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
-        store(now.join(lead, "token").where((F.col("comp") != F.col("comp_b")) & _room(percent)))
-        labels = labelled()
-    # the rest: lists that still hold several components, blocked by size class
-    now = with_component(labels)
-    several = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    left = scratch(now.join(several, "token", "left_semi").withColumn("class", F.floor(F.log("size") / np.log(100.0 / percent)).cast("int")), "left")
+    same = ["size", "d1", "d2"]
+    classes = table.where("doc_id is not null and size > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
+    classes = scratch(classes, "classes")
+    parts = classes.select("rep", "parts")
+
+    entries = classes.select("rep", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token")).repartition("token")
+    entry = F.struct("rep", "size", "pos")
+    leads = [F.min(F.struct(F.xxhash64(F.lit(k), "rep").alias("order"), entry.alias("entry"))).alias(f"lead{k}") for k in range(LEADS)]
+    met = entries.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n"), *leads).where("low <> high")
+    met = met.select("token", "n", F.array_distinct(F.array(*[f"lead{k}.entry" for k in range(LEADS)])).alias("leads"))
+    lists = scratch(entries.join(met, "token"), "lists")
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return scratch(verified(scratch(possible(ordered(pairs), parts, percent), "pairs"), texts, n, percent), "links")
+
+    led = lists.select("rep", "size", "pos", F.explode("leads").alias("l")).select("rep", "size", "pos", F.col("l.rep").alias("rep_b"), F.col("l.size").alias("size_b"), F.col("l.pos").alias("pos_b"))
+    labels = scratch(components(linked(led.where((F.col("rep") != F.col("rep_b")) & _room(percent)))), "labels")
+    # the rest: lists that hold several components beside their leaders, blocked by size class
+    rest = lists.where((F.col("n") > 2) & ~F.exists("leads", lambda x: x["rep"] == F.col("rep"))).select("rep", "size", "pos", "token")
+    rest = rest.join(labels, F.col("rep") == F.col("node"), "left").select("rep", "size", "pos", "token", F.coalesce("component", "rep").alias("comp"))
+    several = rest.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+    left = scratch(rest.join(several, "token", "left_semi").withColumn("class", F.floor(F.log("size") / np.log(100.0 / percent)).cast("int")), "left")
     probe = left.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1, F.col("class") + 1)))
-    lists = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
-    store(probe.join(lists, ["token", "class"]).where((F.col("comp") != F.col("comp_b")) & (F.struct("size", "rep") > F.struct("size_b", "rep_b")) & _room(percent)))
-    labels = labelled()
-    out = table.select("doc_id", F.col("size").alias("n_shingles")).join(labels, F.col("doc_id") == F.col("node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    others = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
+    late = linked(probe.join(others, ["token", "class"]).where((F.col("comp") != F.col("comp_b")) & (F.struct("size", "rep") > F.struct("size_b", "rep_b")) & _room(percent)))
+    if not late.isEmpty():
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
+    known = classes.select(*same, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*[F.col(c).alias(f"{c}_k") for c in same], F.coalesce("component", "rep").alias("held"))
+    out = table.select("doc_id", *same).join(known, (F.col("size") == F.col("size_k")) & (F.col("d1") == F.col("d1_k")) & (F.col("d2") == F.col("d2_k")), "left")
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("held", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
