@@ -244,7 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     place = F.md5(F.col("_id").cast("string").cast("binary"))
     marks = marks.withColumn("place", place).orderBy("place", "bad").limit(max_labelled)  # a top-k, not a sort of all
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    stats = text_stats(texts.join(marks.select("_id").distinct(), texts["doc_id"] == F.col("_id"), "left_semi"))
+    wanted = F.broadcast(marks.select("_id").distinct())  # at most max_labelled ids of 8 bytes
+    stats = text_stats(texts.join(wanted, texts["doc_id"] == F.col("_id"), "left_semi"))
     rows = features(stats).join(marks, F.col("doc_id") == F.col("_id")).where(~base_failed()).select("bad", "place", *FEATURES).toPandas()
     rows = rows.sort_values(["place", "bad", *FEATURES], kind="stable")
     if not len(rows):
