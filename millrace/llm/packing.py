@@ -9,12 +9,14 @@ length, taken in chunks, so that no length is ever in one task.
 
 Defined results: null text counts as empty and is its end token alone; the first piece of a long text is
 the shorter one; rows that repeat are packed each on their own; an empty table gives an empty result; only
-the id and text columns are read.
+the id and text columns are read. Ids are those of ``tokenizers`` without special tokens added: an added token
+of the file that stands in a text has its own id.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -46,12 +48,13 @@ def _bytes_of_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE tokenizer file, equal to encoding each text whole with all text ordinary.
+    """Ids of a byte-level BPE tokenizer file, equal to those that ``tokenizers`` gives each text whole.
 
     The file's vocabulary is its merge order, so its ids serve as ranks. Its pre-tokenizer never lets a
     token start with anything but white space run over white space, so a text may be cut before a space or
-    newline that follows a character known not to be white space. Each distinct stretch is encoded once and
-    its ids are copied to where it occurs.
+    newline that follows a character known not to be white space. Added tokens are found first, leftmost and
+    longest, and what stands before and after one is encoded apart from it. Each distinct stretch is encoded
+    once and its ids are copied to where it occurs.
     """
 
     def __init__(self, path: str):
@@ -61,15 +64,31 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
-        special = {t["content"] for t in file.get("added_tokens", [])}
+        tokens = file.get("added_tokens") or []
+        if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: added tokens that look at their surroundings or at normalised text are not supported")
+        special = {t["content"]: t["id"] for t in tokens if t["content"]}
+        self.added = {content.encode(): k for content, k in special.items()}
+        self.finder = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)))
         letters = _bytes_of_letters()
         ranks = {bytes(letters[c] for c in token): rank for token, rank in file["model"]["vocab"].items() if token not in special}
         self.encode = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[bytes, int] = {}
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def _stretches(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Where stretches start, ends of the texts among them."""
+    def _added_tokens(self, texts: pa.Array, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+        """Where added tokens start and end, text by text, so that none is found across two texts."""
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= np.asarray(pc.match_substring(texts, token.decode()))
+        spans = []
+        for k in np.flatnonzero(holds).tolist():
+            first, last = int(ends[k]), int(ends[k + 1])
+            spans += [(first + m.start(), first + m.end()) for m in self.finder.finditer(data[first:last].tobytes())]
+        return spans
+
+    def _stretches(self, data: np.ndarray, ends: np.ndarray, added: list[tuple[int, int]]) -> np.ndarray:
+        """Where stretches start, ends of the texts and of added tokens among them."""
         white = (data == 0x20) | (data == 0x0A)
         before, lead = np.zeros(len(data), np.uint8), np.zeros(len(data), np.uint8)
         before[1:], lead[2:] = data[:-1], data[:-2]
@@ -77,6 +96,8 @@ class Encoder:
         cut = white & solid
         cut[ends[ends < len(data)]] = True
         cut[0] = True
+        for start, stop in added:
+            cut[start], cut[start + 1 : stop], cut[stop : stop + 1] = True, False, True
         return np.flatnonzero(cut)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +108,7 @@ class Encoder:
         ends = ends - ends[0]
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        cuts = self._stretches(data, ends)
+        cuts = self._stretches(data, ends, self._added_tokens(texts, data, ends))
         offsets = np.append(cuts, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         places = self._places(coded.dictionary.to_pylist())
@@ -105,7 +126,7 @@ class Encoder:
         new = [s for s in stretches if s not in self.known]
         if new:
             encode, first = self.encode, len(self.known)
-            lists = [encode(s.decode()) for s in new]
+            lists = [[self.added[s]] if s in self.added else encode(s.decode()) for s in new]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             self.known.update(zip(new, range(first, first + len(new)), strict=True))
             self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), np.uint32, sizes.sum()))
