@@ -63,7 +63,7 @@ def _may_repeat(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     mixed, n = mix(codes.astype(np.uint64)), len(codes)
     rolled = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(WINDOW):
+        for k in range(min(WINDOW, n)):
             rolled[: n - k] = rolled[: n - k] * np.uint64(0x9E3779B97F4A7C15) + mixed[k:]
     rows = np.repeat(np.arange(len(counts)), counts)
     whole = np.repeat(np.cumsum(counts), counts) - np.arange(n) >= WINDOW

@@ -92,7 +92,7 @@ def shingles_of(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
         rolled, short = np.zeros(len(h), np.uint64), size < n
         for k in range(n):
             part = np.zeros(len(h), np.uint64)
-            part[: len(h) - k] = h[k:]
+            part[: max(len(h) - k, 0)] = h[k:]
             rolled = np.where(short & (place + k >= size), rolled, mix(rolled * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(k + 1)))
         rolled = np.where(short, mix(rolled + size.astype(np.uint64)), rolled)
     use = np.where(short, place == 0, place <= size - n)
