@@ -13,6 +13,13 @@ one component are then never compared again, so a group of n near copies costs a
 last round compares the pairs of entries, neither of them a leader, that are still in different components,
 so no link between components is lost.
 
+``jaccard_links`` goes on to all links. What is not yet compared lies within a component. A set's home is
+the first of itself and the sets it is known to link with, by a hash. For sets of one home H, the answers of
+one are those of the other but for their differences from H: the overlap of X and Y is |H| less the
+shingles of H that X or Y lacks, plus those outside H that both have. So candidates come from the home's
+answers, and only differences are compared. Pairs of entries of one component but different homes are
+verified as whole sets. ``jaccard_components`` needs none of this and leaves it out.
+
 Nothing but the sketch goes to the driver. Defined results: null or wordless text has an empty set and is
 linked with nothing; fewer words than n make one shingle; null ids give a row with a null component and are
 not joined; rows that repeat an id are each judged by their own text, and sets held by one id share its
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -143,26 +151,41 @@ def possible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "parts_a", "parts_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs a, b that link. Sets are made and shuffled only for documents that a pair names; those of a leader go out in SALTS shares."""
+def _with_tokens(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """a, b, tokens_a and tokens_b. Sets are made and shuffled only for documents that a pair names; those of a leader go out in SALTS shares."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     sets = scratch(token_sets(possibly_in(texts, named, "doc_id"), n), "sets")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
     leaders = salted.select("b", "salt").distinct().join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    own = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
+    return salted.join(leaders, ["b", "salt"]).join(own, "a").select("a", "b", "tokens_a", "tokens_b")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs a, b that link."""
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
     links = 100 * both >= percent * (F.size("tokens_a") + F.size("tokens_b") - both)
-    own = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    return salted.join(leaders, ["b", "salt"]).join(own, "a").where(links).select("a", "b")
+    return _with_tokens(pairs, texts, n).where(links).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, one row per row of docs."""
+SAME = ["size", "d1", "d2"]
+
+
+@dataclass(frozen=True)
+class _Joined:
+    texts: DataFrame
+    table: DataFrame  # shingle_sets
+    classes: DataFrame
+    links: DataFrame  # those verified: all to leaders, and all between components
+    rest: DataFrame  # entries that are no leader of their list, with the component they had before the last round
+    labels: DataFrame  # node, component
+
+
+def _joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> _Joined:
     texts = _texts(docs, id_col, text_col)
     table = scratch(shingle_sets(docs, n, percent, id_col, text_col), "prefixes")
-    same = ["size", "d1", "d2"]
-    classes = table.where("doc_id is not null and size > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
+    classes = table.where("doc_id is not null and size > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
     classes = scratch(classes, "classes")
-    parts = classes.select("rep", "parts")
 
     entries = classes.select("rep", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token")).repartition("token")
     entry = F.struct("rep", "size", "pos")
@@ -171,27 +194,86 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     met = met.select("token", "n", F.array_distinct(F.array(*[f"lead{k}.entry" for k in range(LEADS)])).alias("leads"))
     lists = scratch(entries.join(met, "token"), "lists")
 
-    def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
-
     def linked(pairs: DataFrame) -> DataFrame:
-        return scratch(verified(scratch(possible(ordered(pairs), parts, percent), "pairs"), texts, n, percent), "links")
+        return _linked(pairs, classes, texts, n, percent)
 
     led = lists.select("rep", "size", "pos", F.explode("leads").alias("l")).select("rep", "size", "pos", F.col("l.rep").alias("rep_b"), F.col("l.size").alias("size_b"), F.col("l.pos").alias("pos_b"))
-    labels = scratch(components(linked(led.where((F.col("rep") != F.col("rep_b")) & _room(percent)))), "labels")
+    links = linked(led.where((F.col("rep") != F.col("rep_b")) & _room(percent)))
+    labels = scratch(components(links), "labels")
     # the rest: lists that hold several components beside their leaders, blocked by size class
     rest = lists.where((F.col("n") > 2) & ~F.exists("leads", lambda x: x["rep"] == F.col("rep"))).select("rep", "size", "pos", "token")
     rest = rest.join(labels, F.col("rep") == F.col("node"), "left").select("rep", "size", "pos", "token", F.coalesce("component", "rep").alias("comp"))
-    several = rest.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    left = scratch(rest.join(several, "token", "left_semi").withColumn("class", F.floor(F.log("size") / np.log(100.0 / percent)).cast("int")), "left")
-    probe = left.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1, F.col("class") + 1)))
-    others = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "pos", "comp")])
-    late = linked(probe.join(others, ["token", "class"]).where((F.col("comp") != F.col("comp_b")) & (F.struct("size", "rep") > F.struct("size_b", "rep_b")) & _room(percent)))
+    late = linked(_meeting(rest, "comp", percent).where("comp <> comp_b"))
     if not late.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
-    known = classes.select(*same, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*[F.col(c).alias(f"{c}_k") for c in same], F.coalesce("component", "rep").alias("held"))
-    out = table.select("doc_id", *same).join(known, (F.col("size") == F.col("size_k")) & (F.col("d1") == F.col("d1_k")) & (F.col("d2") == F.col("d2_k")), "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("held", "doc_id")).alias("component_id"))
+    return _Joined(texts, table, classes, links.unionByName(late), rest, labels)
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    ordered = pairs.select(F.greatest("rep", "rep_b").alias("a"), F.least("rep", "rep_b").alias("b")).distinct()
+    return scratch(verified(scratch(possible(ordered, classes.select("rep", "parts"), percent), "pairs"), texts, n, percent), "links")
+
+
+def _meeting(entries: DataFrame, differs: str, percent: int) -> DataFrame:
+    """Pairs of entries of one list, blocked by size class, whose sizes and positions fit; only of lists that hold several values of a column."""
+    several = entries.groupBy("token").agg(F.min(differs).alias("low"), F.max(differs).alias("high")).where("low <> high").select("token")
+    left = scratch(entries.join(several, "token", "left_semi").withColumn("class", F.floor(F.log("size") / np.log(100.0 / percent)).cast("int")), "left")
+    probe = left.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1, F.col("class") + 1)))
+    others = left.select("token", "class", *[F.col(c).alias(f"{c}_b") for c in left.columns if c not in ("token", "class")])
+    return probe.join(others, ["token", "class"]).where((F.struct("size", "rep") > F.struct("size_b", "rep_b")) & _room(percent))
+
+
+def _with_classes(joined: _Joined, values: DataFrame) -> DataFrame:
+    """The table, one row per row of docs, with rep of its class and the columns of values, which has one row per rep; null where there is none."""
+    known = joined.classes.select(*[F.col(c).alias(f"{c}_k") for c in SAME], "rep").join(values, "rep", "left")
+    met = (F.col("size") == F.col("size_k")) & (F.col("d1") == F.col("d1_k")) & (F.col("d2") == F.col("d2_k"))
+    return joined.table.select("doc_id", *SAME).join(known, met, "left")
+
+
+def _held() -> Column:
+    return F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, one row per row of docs."""
+    joined = _joined(docs, n, percent, id_col, text_col)
+    return _with_classes(joined, joined.labels.withColumnRenamed("node", "rep")).select("doc_id", F.col("size").alias("n_shingles"), _held())
+
+
+def _all_links(joined: _Joined, n: int, percent: int) -> DataFrame:
+    repeated = joined.table.where("doc_id is not null and size > 0").select("doc_id", *SAME).distinct().groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("rep"))
+    either = joined.links.select(F.col("a").alias("rep"), F.col("b").alias("home")).unionByName(joined.links.select(F.col("b").alias("rep"), F.col("a").alias("home")))
+    either = either.join(repeated, "rep", "left_anti").join(repeated.withColumnRenamed("rep", "home"), "home", "left_anti")  # an id of several sets is no home and has none
+    first = lambda c: F.struct(F.xxhash64(F.lit(0), c).alias("order"), F.col(c).alias("home"))
+    homes = scratch(either.groupBy("rep").agg(F.least(F.min(first("home")), F.first(first("rep"))).getField("home").alias("home")), "homes")
+
+    away = homes.where("rep <> home").select(F.col("rep").alias("a"), F.col("home").alias("b"))
+    lacks, adds = F.array_except("tokens_b", "tokens_a").alias("lacks"), F.array_except("tokens_a", "tokens_b").alias("adds")
+    differences = _with_tokens(away, joined.texts, n).select(F.col("a").alias("rep"), F.col("b").alias("home"), F.size("tokens_b").alias("whole"), F.size("tokens_a").alias("size"), lacks, adds)
+    member = scratch(differences.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))), "differences")
+    others = member.select("home", *[F.col(c).alias(f"{c}_b") for c in ("rep", "size", "lacks", "adds")], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    both = F.col("whole") - F.size(F.array_union("lacks", "lacks_b")) + F.size(F.array_intersect("adds", "adds_b"))
+    fits = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent
+    pairs = member.join(others, ["home", "salt"]).where((F.col("rep") > F.col("rep_b")) & fits)
+    derived = scratch(pairs.where(100 * both >= percent * (F.col("size") + F.col("size_b") - both)).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")), "derived")
+
+    rest = joined.rest.join(homes, "rep", "left").withColumn("home", F.coalesce("home", "rep"))
+    within = _linked(_meeting(rest, "home", percent).where("comp = comp_b and home <> home_b"), joined.classes, joined.texts, n, percent)
+    return scratch(joined.links.unionByName(derived).unionByName(within).distinct(), "all-links")
+
+
+def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """a and b, a > b: every link between the smallest ids of two classes, once. Rows with equal sets are one class and give no link."""
+    return _all_links(_joined(docs, n, percent, id_col, text_col), n, percent)
+
+
+def jaccard_answers(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links (other classes that the document's class links with), one row per row of docs."""
+    joined = _joined(docs, n, percent, id_col, text_col)
+    counts = _all_links(joined, n, percent).select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    values = joined.labels.join(counts, "node", "full_outer").withColumnRenamed("node", "rep")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n", F.lit(0))).alias("n_links")
+    return _with_classes(joined, values).select("doc_id", F.col("size").alias("n_shingles"), _held(), n_links)
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

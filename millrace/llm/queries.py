@@ -56,7 +56,7 @@ drawn AS (SELECT *, (floor(place * rate + shift) - floor((place - 1) * rate + sh
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return jaccard.jaccard_answers(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
 def op4_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
