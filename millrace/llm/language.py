@@ -6,7 +6,8 @@ aggregates over all pages: how pages of a language declare themselves in their m
 suffix they stand, and the languages of their host, where a host's prior is smoothed by its domain's, that
 by the corpus's, and a page's own share is taken out of all of them.
 
-The model has ``BUCKETS`` rows and one column per language with labels, which bounds what is broadcast. At
+The model has ``BUCKETS`` rows and one column per language with labels; ``max_languages`` bounds what is
+broadcast, 256 KB a language, and ``fit`` raises when labels name more languages, so that none is lost. At
 most ``MAX_PER_LANGUAGE`` labelled documents per language are fitted, the first by a hash of the id; all
 else covers all pages. Defined results: a page without text is judged by the other evidence; null or missing
 markup, suffix and host are values of their own; without labelled documents there is no language and lang is
@@ -68,11 +69,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bucket", "n"])
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", per_language: int = MAX_PER_LANGUAGE) -> Model:
-    """The model from labelled documents; languages in order of their names."""
+def fit(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", per_language: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
+    """The model from labelled documents; languages in order of their names. More than max_languages of them raise ValueError."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     # a hash threshold that leaves about twice the bound per language, so that no language is sorted whole
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"labels name more than {max_languages} languages; max_languages bounds the table that is broadcast")
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0)))
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30))
