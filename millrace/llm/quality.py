@@ -2,7 +2,8 @@
 
 ``text_stats`` measures whole texts in Arrow batches. ``learn`` is sequential covering: on two thirds of the
 labelled rows it grows one conjunction of thresholds at a time by information gain, prunes it on the other
-third, and goes on with the rows that the rule leaves, as long as rules stay precise. ``verdict`` turns the
+third, and goes on with the rows that the rule leaves, as long as rules stay precise and cover ``min_cover``
+rows; their number has no other bound, that of a rule's tests is ``max_tests``. ``verdict`` turns the
 ordered list into one nested Spark conditional, so that scoring is a projection.
 
 Defined results: null text has no words; an empty table gives an empty result; without labels, or with one
@@ -197,11 +198,11 @@ def _best_test(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray) ->
     return best
 
 
-def learn(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, max_rules: int = 8, max_tests: int = 4, min_precision: float = 0.75, min_cover: int = 3) -> list[Rule]:
+def learn(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, max_tests: int = 4, min_precision: float = 0.75, min_cover: int = 3) -> list[Rule]:
     """Decision list from feature columns, labels (True: reject) and folds (True: used to prune)."""
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
-    while len(rules) < max_rules and bad[left].any() and not bad[left].all():
+    while bad[left].any() and not bad[left].all():
         grow, prune = left & ~fold, left & fold
         tests: tuple[Test, ...] = ()
         while len(tests) < max_tests:
