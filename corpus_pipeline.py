@@ -43,7 +43,7 @@ STAGES = [
     ("best_fit_packing", packed),
 ]
 
-#: Fitted rules and tokenizer ids have no SQL form; a test holds the stages against plain versions.
+#: Fitted rules and tokenizer ids have no SQL form. The operators behind the stages have tests of their own; no brute-force test holds the whole yet.
 ORACLE_SQL = None
 
 
