@@ -277,7 +277,10 @@ def jaccard_answers(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, that of the smallest id; rows without an id stay."""
-    stays = jaccard_components(docs, n, percent, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    kept = docs.join(stays, docs[id_col].cast("long") == F.col("_stays"), "left_semi")
-    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    """docs with one row of each component, that of the smallest id, null ids last. Rows are numbered once, so that rows without an id and rows that repeat one are judged each on their own."""
+    rows = scratch(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    parts = jaccard_components(rows, n, percent, "_row", text_col).select(F.col("doc_id").alias("_row"), "component_id")
+    ids = rows.select("_row", F.col(f"`{id_col}`").cast("long").alias("_id"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
+    stays = parts.join(ids, "_row").groupBy("component_id").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return rows.join(stays, "_row", "left_semi").drop("_row")
