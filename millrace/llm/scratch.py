@@ -1,11 +1,12 @@
 """Tables that cut lineage, kept in the folder that the cluster shares.
 
-A job that loses an executor rereads these files, so nothing here uses a machine-local folder
-unless the session names none (tests on one machine).
+A job that loses an executor rereads these files, so nothing here uses a machine-local folder but on one
+machine (a local master) whose session names none.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``. Where that is unset, a temporary one on a local master; ValueError on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -44,8 +47,10 @@ def mark() -> int:
     return len(_written)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the tables written after ``since``; call it only when no result still reads them."""
-    while len(_written) > since:
-        path, fs = _path(spark, _written.pop())
+def release(spark: SparkSession, since: int = 0, spared: int = 0) -> None:
+    """Deletes the tables written after ``since`` but for the last ``spared``; call it only when no result still reads them."""
+    gone = _written[since : len(_written) - spared]
+    del _written[since : since + len(gone)]
+    for where in gone:
+        path, fs = _path(spark, where)
         fs.delete(path, True)
