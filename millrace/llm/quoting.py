@@ -2,14 +2,16 @@
 
 A line's quote level is the number of its leading '>' marks; lines of a level above 0 that say something
 are quoted passages. Passages are normalised (marks off, lower case, one space for each run of white space)
-and hashed, and meet the unquoted lines of earlier messages of the same conversation by hash: level 1 names
-the message that is answered. A message answers the one with most of its quoted lines, the later one on a
-tie; if no passage of level 1 is found, one of a deeper level gives the answered message's ancestor, which
+and hashed, and meet the unquoted lines of earlier messages of the same conversation by hash, whole line by whole
+line: each names the latest earlier message that says it. A message answers the one named by most of its quoted lines
+of the lowest level that names any, the later one on a tie; a deeper level gives the answered message's ancestor, which
 is taken instead. A message without a quote that is found answers the message before it. Replies then form
 a tree, and messages are ordered along it, a reply after what it answers, siblings by turn.
 
-A passage that many messages hold is met by each earlier message of its own conversation only. Depth and order
-come from pointers that double in length, so a chain of n messages takes log2(n) joins.
+A quoted line is matched with one message only, so matches grow with the lines, however often one is said. Depth and
+place come from the tour around each tree (into a message, through its replies, out of it), ranked by pointers that double in
+length: a chain of n messages takes log2(2 n) joins of 2 n rows. Neighbours in a conversation are found within ``STRIDE`` turns
+and then over strides, so no conversation is ever sorted in one task.
 
 Defined results: null text is empty and answers the message before it; null conversations or turns are
 left out; of several rows with one conversation and turn the smallest (role, text) stays; quotes of lines that
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .scratch import scratch
 
-MARKS = r"^[\x20\x09]*(?:>[\x20\x09]*)+"
-ROLES = ("system", "user", "assistant")
+MARKS = r"^[\x20\x09]*+>[\x20\x09>]*+"
+STRIDE = 4096
 
 
 def normal(line: Column) -> Column:
@@ -40,46 +42,70 @@ def parsed(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     level = lambda line: F.length(F.regexp_replace(F.regexp_extract(line, MARKS, 0), "[^>]", ""))
     lines = F.transform(parts, lambda x: F.struct(level(x).alias("level"), normal(x).alias("norm")))
     hashed = F.transform(F.filter(lines, lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), F.xxhash64(F.lit("line"), x["norm"]).alias("h1"), F.xxhash64(F.lit("more"), x["norm"]).alias("h2")))
-    own = F.regexp_replace(F.array_join(F.filter(parts, lambda x: level(x) == 0), "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    own = F.trim(F.array_join(F.filter(parts, lambda x: level(x) == 0), "\n"), F.lit(" \t\n\x0b\x0c\r"))
     return one.select("conv_id", "turn", F.col("said.role").alias("role"), own.alias("own"), hashed.alias("lines"))
 
 
+def _latest_before(rows: DataFrame, keys: list[str], at: str, value: str, name: str) -> DataFrame:
+    """rows with name: the largest value among rows of the same keys, none null, whose at is smaller."""
+    rows = rows.withColumn("stride", F.floor(F.col(at) / STRIDE))
+    within = F.max(value).over(Window.partitionBy(*keys, "stride").orderBy(at).rangeBetween(Window.unboundedPreceding, -1))
+    earlier = F.max("most").over(Window.partitionBy(*keys).orderBy("stride").rowsBetween(Window.unboundedPreceding, -1))
+    strides = rows.groupBy(*keys, "stride").agg(F.max(value).alias("most")).withColumn("earlier", earlier).drop("most")
+    found = rows.withColumn("within", within).join(strides, [*keys, "stride"])
+    return found.withColumn(name, F.coalesce("within", "earlier")).drop("within", "earlier", "stride")
+
+
 def reply_links(table: DataFrame) -> DataFrame:
     """conv_id, turn, parent (turn answered; null: none), quoted (lines found), from the parsed and written messages."""
     lines = table.select("conv_id", "turn", F.explode(F.array_distinct("lines")).alias("x")).select("conv_id", "turn", "x.*")
-    quotes = lines.where("level > 0").select("conv_id", F.col("turn").alias("by"), "level", "h1", "h2")
-    found = quotes.join(lines.where("level = 0").drop("level"), ["conv_id", "h1", "h2"]).where("turn < by")
-    votes = found.groupBy("conv_id", "by", "level", "turn").agg(F.count("*").alias("n"))
+    line = ["conv_id", "h1", "h2"]
+    quotes = lines.where("level > 0").select(*line, F.col("turn").alias("at"), "level", F.lit(None).cast("long").alias("said"))
+    says = lines.where("level = 0").join(quotes.select(*line).distinct(), line, "left_semi").select(*line, F.col("turn").alias("at"), "level", F.col("turn").alias("said"))
+    found = _latest_before(quotes.unionByName(says), line, "at", "said", "turn").where("level > 0 and turn is not null")
+    votes = found.groupBy("conv_id", F.col("at").alias("by"), "level", "turn").agg(F.count("*").alias("n"))
     best = votes.groupBy("conv_id", "by").agg(F.max(F.struct(-F.col("level"), "n", "turn")).alias("best"))
-    before = F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
-    base = table.select("conv_id", "turn", before.alias("before"))
+    base = _latest_before(table.select("conv_id", "turn"), ["conv_id"], "turn", "turn", "before")
     joined = base.join(best.withColumnRenamed("by", "turn"), ["conv_id", "turn"], "left")
     return joined.select("conv_id", "turn", F.coalesce("best.turn", "before").alias("parent"), F.coalesce("best.n", F.lit(0)).cast("long").alias("quoted"))
 
 
-def with_depth(links: DataFrame) -> DataFrame:
-    """links with depth and path (the turns from the root), by doubling pointers."""
-    now = scratch(links.select("conv_id", "turn", F.col("parent").alias("up"), F.array("turn").alias("path")), "paths")
-    while not now.where("up is not null").isEmpty():
-        above = now.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"))
-        now = scratch(now.join(above, ["conv_id", "up"], "left").select("conv_id", "turn", F.col("next").alias("up"), F.concat(F.coalesce("head", F.array().cast("array<long>")), "path").alias("path")), "paths")
-    return links.join(now.select("conv_id", "turn", "path"), ["conv_id", "turn"]).withColumn("depth", (F.size("path") - 1).cast("long"))
+def placed(links: DataFrame) -> DataFrame:
+    """conv_id, turn, depth and place (from 0, in reply order) of conv_id, turn and parent, by ranking the steps of the tour around each tree."""
+    node = ["conv_id", "turn"]
+    replies = links.where("parent is not null")
+    left = _latest_before(replies.select(*node, "parent"), ["conv_id", "parent"], "turn", "turn", "left").select(*node, "left")
+    last = replies.groupBy("conv_id", F.col("parent").alias("turn")).agg(F.max("turn").alias("last"))
+    tied = links.join(left, node, "left").join(last, node, "left")
+    # step out 0 goes into a message, 1 out of it; each points at the step before it
+    into = F.struct(F.lit(0).alias("out"), F.coalesce("left", "parent").alias("turn_b"), F.when(F.col("left").isNotNull(), 1).otherwise(0).alias("out_b"), F.lit(1).alias("seen"), F.lit(1).alias("open"))
+    outof = F.struct(F.lit(1).alias("out"), F.coalesce("last", "turn").alias("turn_b"), F.when(F.col("last").isNotNull(), 1).otherwise(0).alias("out_b"), F.lit(0).alias("seen"), F.lit(-1).alias("open"))
+    steps = scratch(tied.select(*node, F.explode(F.array(into, outof)).alias("s")).select(*node, "s.out", "s.turn_b", "s.out_b", F.col("s.seen").cast("long").alias("seen"), F.col("s.open").cast("long").alias("open")), "steps")
+    while not steps.where("turn_b is not null").isEmpty():
+        before = steps.select("conv_id", F.col("turn").alias("turn_b"), F.col("out").alias("out_b"), F.col("turn_b").alias("turn_c"), F.col("out_b").alias("out_c"), F.col("seen").alias("seen_b"), F.col("open").alias("open_b"))
+        sums = [(F.col(c) + F.coalesce(f"{c}_b", F.lit(0))).alias(c) for c in ("seen", "open")]
+        steps = scratch(steps.join(before, ["conv_id", "turn_b", "out_b"], "left").select(*node, "out", F.col("turn_c").alias("turn_b"), F.col("out_c").alias("out_b"), *sums), "steps")
+    return steps.where("out = 0").select(*node, (F.col("open") - 1).alias("depth"), (F.col("seen") - 1).alias("place"))
 
 
 def quotation_links(messages: DataFrame, **columns: str) -> DataFrame:
     """conv_id, turn, role, parent, depth, place (from 0, in reply order), quoted, text (without quotes); one row per message."""
     table = scratch(parsed(messages, **columns), "messages")
-    placed = with_depth(scratch(reply_links(table), "replies"))
-    order = Window.partitionBy("conv_id").orderBy("path")
-    ranked = placed.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
+    links = scratch(reply_links(table), "replies")
+    ranked = links.join(placed(links), ["conv_id", "turn"])
     return ranked.join(table.select("conv_id", "turn", "role", F.col("own").alias("text")), ["conv_id", "turn"]).select("conv_id", "turn", "role", "parent", "depth", "place", "quoted", "text")
 
 
 def formatted(linked: DataFrame) -> DataFrame:
-    """conv_id, leaf and messages (role and content from the root to each message that nobody answers)."""
+    """conv_id, leaf and messages (role and content from the root to each message that nobody answers). Rows grow as these lists do."""
     turns = linked.select("conv_id", "turn", "parent", "role", F.col("text").alias("content"))
     leaves = turns.join(turns.select("conv_id", F.col("parent").alias("turn")).where("turn is not null").distinct(), ["conv_id", "turn"], "left_anti")
-    paths = with_depth(turns.select("conv_id", "turn", "parent")).join(leaves.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
-    steps = paths.select("conv_id", F.col("turn").alias("leaf"), F.posexplode("path").alias("pos", "turn"))
-    said = F.array_sort(F.collect_list(F.struct("pos", "role", "content")))
-    return steps.join(turns.drop("parent"), ["conv_id", "turn"]).groupBy("conv_id", "leaf").agg(F.transform(said, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+    on = scratch(leaves.select("conv_id", F.col("turn").alias("leaf"), "turn", F.lit(0).cast("long").alias("up")), "paths")
+    jump, length = scratch(turns.select("conv_id", "turn", F.col("parent").alias("to")).where("to is not null"), "jumps"), 1
+    while not jump.isEmpty():  # all ancestors within length steps are there; a jump of that length gives as many again
+        further = on.join(jump, ["conv_id", "turn"]).select("conv_id", "leaf", F.col("to").alias("turn"), (F.col("up") + length).alias("up"))
+        on = scratch(on.unionByName(further), "paths")
+        jump = scratch(jump.join(jump.select("conv_id", F.col("turn").alias("to"), F.col("to").alias("then")), ["conv_id", "to"]).select("conv_id", "turn", F.col("then").alias("to")), "jumps")
+        length *= 2
+    said = F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("pos"), "role", "content")))
+    return on.join(turns.drop("parent"), ["conv_id", "turn"]).groupBy("conv_id", "leaf").agg(F.transform(said, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
