@@ -9,9 +9,11 @@ entry active then; blocking wins over allowing at one specificity.
 Entries of one pattern and date: the strictest counts (block, then allow, then lift). Defined results: a
 null or unreadable address is kept with reason 'no address', a null fetch time with 'no date'; an empty
 list keeps all; rows that repeat are judged each on their own; an empty table gives an empty result. All
-columns of captures are kept and verdict columns added (own columns of their names are replaced). Neither
-side is broadcast unless Spark measures it as small; a hot host is split by the join's skew handling, and a
-capture's few matches are reduced by a hash aggregate.
+columns of captures are kept, whatever their names, and verdict columns added (own columns of their names are
+replaced). Each pair of address and fetch time is judged once and its verdict joined back, so nothing depends on
+row numbers. An address emits only patterns as deep as the list's deepest, and those that may be in the list by a
+bitmap of ``sieve.BITMAP_BITS`` bits; no other side is broadcast unless Spark measures it as small, and a hot host
+is split by the join's skew handling.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sieve import possibly_in
+
 VERDICT = ("kept", "reason", "pattern", "since")
 _STRICTNESS = {"block": 3, "allow": 2, "lift": 1}
 
@@ -32,19 +36,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def patterns_of(url: Column) -> Column:
-    """array<struct<pattern, rank>>: what covers an address, rank higher for the more specific.
+def patterns_of(url: Column, most_labels: int, most_segments: int) -> Column:
+    """array<struct<pattern, rank>>: what covers an address, rank higher for the more specific, up to so many labels of its host and segments of its path.
 
     Hosts rank by their labels, paths of the full host above them by their segments.
     """
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    hosts = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.array_join(F.slice(labels, i, n), ".").alias("pattern"), (n - i + 1).alias("rank")))
+    hosts = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(most_labels))), lambda k: F.struct(F.array_join(F.slice(labels, n - k + 1, k), ".").alias("pattern"), k.alias("rank")))
     segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
-    m = F.size(segments)
+    m = F.least(F.size(segments), F.lit(most_segments))
     paths = F.transform(F.sequence(F.lit(1), m), lambda i: F.struct(F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")).alias("pattern"), (n + i).alias("rank")))
-    return F.when(host != "", F.concat(hosts, F.when(m > 0, paths).otherwise(F.array().cast("array<struct<pattern:string,rank:int>>"))))
+    none = F.array().cast("array<struct<pattern:string,rank:int>>")
+    return F.when(host != "", F.concat(hosts if most_labels else none, F.when(m > 0, paths).otherwise(none)))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -59,13 +64,19 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
     """captures with kept, reason, pattern and since."""
-    names = [c for c in captures.columns if c not in VERDICT]
-    rows = captures.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"), F.col(f"`{url_col}`").alias("_url"), F.col(f"`{time_col}`").cast("timestamp").alias("_at"), F.monotonically_increasing_id().alias("_no"))
-    keys = rows.select("_no", "_at", F.explode(patterns_of(F.col("_url"))).alias("p")).select("_no", "_at", F.col("p.pattern").alias("_pattern"), F.col("p.rank").alias("_rank"))
-    list_ = intervals(entries)
-    active = (F.col("_pattern") == F.col("pattern")) & (F.col("_at") >= F.col("since")) & (F.col("until").isNull() | (F.col("_at") < F.col("until")))
-    best = keys.join(list_, active).groupBy("_no").agg(F.max(F.struct("_rank", "action", "pattern", "since")).alias("hit")).withColumnRenamed("_no", "_hit_no")
-    judged = rows.join(best, F.col("_no") == F.col("_hit_no"), "left")
-    reason = F.when(F.coalesce(host_of(F.col("_url")), F.lit("")) == "", "no address").when(F.col("_at").isNull(), "no date").when(F.col("hit").isNull(), "unlisted").when(F.col("hit.action") == "block", "blocked").otherwise("allowed")
-    out = judged.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)], reason.alias("reason"), F.col("hit.pattern").alias("pattern"), F.col("hit.since").alias("since"))
-    return out.select(*names, (F.col("reason") != "blocked").alias("kept"), "reason", "pattern", "since")
+    names = [f"c{k}" for k in range(len(captures.columns))]
+    address, time = (F.col(names[captures.columns.index(c)]) for c in (url_col, time_col))
+    rows = captures.toDF(*names).select("*", address.cast("string").alias("address"), time.cast("timestamp").alias("at"))
+    list_ = intervals(entries).withColumn("key", F.xxhash64("pattern"))
+    host = F.substring_index("pattern", "/", 1)
+    deepest = list_.agg(F.max(F.size(F.split(host, r"\."))).alias("labels"), F.max(F.size(F.split("pattern", "/")) - 1).alias("segments")).first()
+    asked = rows.where("address is not null and at is not null").select("address", "at").distinct()
+    keys = asked.select("address", "at", F.explode(patterns_of(F.col("address"), deepest["labels"] or 0, deepest["segments"] or 0)).alias("p"))
+    keys = possibly_in(keys.select("address", "at", F.col("p.pattern").alias("covers"), F.col("p.rank").alias("rank"), F.xxhash64("p.pattern").alias("key")), list_, "key")
+    active = (F.col("covers") == F.col("pattern")) & (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
+    best = keys.drop("key").join(list_.drop("key"), active).groupBy("address", "at").agg(F.max(F.struct("rank", "action", "pattern", "since")).alias("hit"))
+    best = best.select(F.col("address").alias("hit_address"), F.col("at").alias("hit_at"), "hit")
+    judged = rows.join(best, (F.col("address") == F.col("hit_address")) & (F.col("at") == F.col("hit_at")), "left")
+    reason = F.when(host_of(F.col("address")) == "", "no address").when(F.col("at").isNull(), "no date").when(F.col("hit").isNull(), "unlisted").when(F.col("hit.action") == "block", "blocked").otherwise("allowed")
+    own = [F.col(x).alias(c) for x, c in zip(names, captures.columns, strict=True) if c not in VERDICT]
+    return judged.select(*own, (reason != "blocked").alias("kept"), reason.alias("reason"), F.col("hit.pattern").alias("pattern"), F.col("hit.since").alias("since"))
