@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import scratch
@@ -102,13 +102,10 @@ def repeated_cells(digests: DataFrame, bits: int) -> np.ndarray:
     return bitmap
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
-    spark = docs.sparkSession
-    text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " ")
-    hashed = scratch(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), F.monotonically_increasing_id().alias("row_no")), "digests")
-    bits = filter_bits(hashed.count())
-    cells = spark.sparkContext.broadcast(repeated_cells(hashed.select("digest"), bits))
+def _judged(rows: DataFrame) -> DataFrame:
+    """doc_id, row_no, digest, keep_id, group_size and kept, from doc_id, row_no and digest of each row, a written table."""
+    bits = filter_bits(rows.count())
+    cells = rows.sparkSession.sparkContext.broadcast(repeated_cells(rows.select("digest"), bits))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = cells.value
@@ -117,18 +114,30 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             hit = (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool).all(axis=1)
             yield batch.append_column("maybe", pa.array(hit, pa.bool_()))
 
-    tested = scratch(hashed.mapInArrow(test, "doc_id long, digest binary, row_no long, maybe boolean"), "tested")
-    alone = tested.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
+    tested = scratch(rows.mapInArrow(test, "doc_id long, digest binary, row_no long, maybe boolean"), "tested")
+    alone = tested.where("not maybe").select("doc_id", "row_no", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     maybe = tested.where("maybe")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("keep_id"), F.col("row_no").alias("keep_no"))).alias("first")
-    groups = maybe.groupBy("digest").agg(first, F.count("*").alias("group_size"))
-    some = maybe.join(groups, "digest").select("doc_id", F.col("first.keep_id").alias("keep_id"), "group_size", (F.col("row_no") == F.col("first.keep_no")).alias("kept"), "digest")
-    return alone.unionByName(some).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    # a written table, so that a digest of very many rows can be split in the join
+    groups = scratch(maybe.groupBy("digest").agg(first, F.count("*").alias("group_size")), "groups")
+    some = maybe.join(groups, "digest").select("doc_id", "row_no", "digest", F.col("first.keep_id").alias("keep_id"), "group_size", (F.col("row_no") == F.col("first.keep_no")).alias("kept"))
+    return alone.unionByName(some)
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACES, " ").cast("binary"), 256))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _digest(F.col(f"`{text_col}`")).alias("digest"), F.monotonically_increasing_id().alias("row_no"))
+    return _judged(scratch(rows, "digests")).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns. Rows equal in id and text count as one."""
-    digest = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " ").cast("binary"), 256)
-    stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    tagged = docs.withColumn("_sha", digest)
-    return tagged.join(stays, (tagged["_sha"] == stays["_keep_sha"]) & tagged[id_col].eqNullSafe(stays["_keep_id"])).dropDuplicates(["_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that stay, with all their columns, of any name; rows are numbered once, so one only stays where rows repeat."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    doc, words = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    rows = scratch(docs.toDF(*names).select("*", doc.cast("long").alias("doc_id"), _digest(words).alias("digest"), F.monotonically_increasing_id().alias("row_no")), "numbered")
+    stays = _judged(rows.select("doc_id", "digest", "row_no")).where("kept").select("row_no")
+    return rows.join(stays, "row_no", "left_semi").select(*names).toDF(*docs.columns)
