@@ -6,7 +6,7 @@ emitted once for each integer that its stretch of the sum crosses. The order goe
 turn, chunk by chunk, so that what a source takes stays within a few documents' sizes of its target.
 
 Prefix sums are taken in chunks of about ``CHUNK`` documents, then over chunk totals, so no source is ever
-in one task. Defined results: null or wordless text has size 0 and takes 0 words; null is a source of its
+in one task; the table of sources, one row each, is. Defined results: null or wordless text has size 0 and takes 0 words; null is a source of its
 own, the last; an empty table gives an empty result; rows that repeat are sampled each on their own;
 only the id, source and text columns are read.
 """
@@ -59,7 +59,7 @@ def source_targets(sizes: DataFrame, cap: int = CAP, cycle: int = CYCLE, seed: s
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cap: int = CAP, seed: str = SEED) -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target, copies, taken."""
-    sizes = scratch(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
+    sizes = scratch(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size")), "sizes")
     targets = scratch(source_targets(sizes, cap, seed=seed), "targets")
     plan = targets.withColumnRenamed("source", "_source")
     rows = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -82,15 +82,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     Rows that share id, source and size are told apart by nothing that the sampling sees, so their copies
     are pooled and dealt to them in turn.
     """
-    drawn = mix_sources(docs, id_col, source_col, text_col, cap, seed).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies", "_rows")
-    sized = docs.withColumn("_words", word_count(F.col(text_col)))
-    same = sized[id_col].cast("long").eqNullSafe(drawn["_id"]) & sized[source_col].cast("string").eqNullSafe(drawn["_source"]) & (sized["_words"] == drawn["_size"])
-    joined = sized.join(drawn.where("_copies > 0"), same)
-    alike = Window.partitionBy("_id", "_source", "_size").orderBy(F.col(text_col))
+    names = [f"c{k}" for k in range(len(docs.columns))]  # columns may have any name
+    doc, source, words = (F.col(names[docs.columns.index(c)]) for c in (id_col, source_col, text_col))
+    drawn = mix_sources(docs, id_col, source_col, text_col, cap, seed).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    sized = docs.toDF(*names).select("*", doc.cast("long").alias("own_id"), source.cast("string").alias("own_source"), word_count(words).alias("own_size"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_size") == F.col("size"))
+    joined = sized.join(drawn, same)
+    alike = Window.partitionBy("own_id", "own_source", "own_size").orderBy(words)
     # almost every row is alone in its group, so no window is needed there
-    alone = joined.where("_rows = 1").withColumn("_times", F.col("_copies"))
-    several = joined.where("_rows > 1").withColumn("_nth", F.row_number().over(alike))
-    several = several.withColumn("_times", F.floor(F.col("_copies") * F.col("_nth") / F.col("_rows")) - F.floor(F.col("_copies") * (F.col("_nth") - 1) / F.col("_rows"))).drop("_nth")
-    both = alone.unionByName(several).where("_times > 0")
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    alone = joined.where("rows = 1").withColumn("times", F.col("copies"))
+    several = joined.where("rows > 1").withColumn("nth", F.row_number().over(alike))
+    several = several.withColumn("times", F.floor(F.col("copies") * F.col("nth") / F.col("rows")) - F.floor(F.col("copies") * (F.col("nth") - 1) / F.col("rows"))).drop("nth")
+    both = alone.unionByName(several).where("times > 0")
+    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*names).toDF(*docs.columns)
