@@ -33,7 +33,8 @@ from .url_filter import host_of
 BUCKETS, MAX_PER_LANGUAGE, MAX_LANGUAGES = 1 << 15, 1000, 200
 #: A text counts as at most so many independent trigrams; neighbouring ones repeat each other.
 WORTH, SMOOTH, HOST_WEIGHT, DOMAIN_WEIGHT = 40, 0.5, 4.0, 8.0
-HIDDEN = r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;"
+#: What is open at the end hides all up to it, and a tag holds no other, so that no text is scanned again and again.
+HIDDEN = r"(?is)<(script|style|noscript|template)\b.*?(?:</\1[^<>]*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|&#?\w+;"
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", per_language: int = MAX_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
     """The model from labelled documents; languages in order of their names. More than max_languages of them raise ValueError."""
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = labelled.where(F.col(f"`{lang_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     # a hash threshold that leaves about twice the bound per language, so that no language is sorted whole
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()}
     if len(sizes) > max_languages:
@@ -95,7 +96,7 @@ def text_evidence(texts: pa.Array, model: Model) -> np.ndarray:
     """Log-likelihoods, a row per text, shrunk to WORTH trigrams, highest 0."""
     buckets, rows = grams_of(texts)
     n = np.bincount(rows, minlength=len(texts))
-    out = np.stack([np.bincount(rows, model.log_p[buckets, k], minlength=len(texts)) for k in range(len(model.languages))], axis=1)
+    out = np.stack([np.bincount(rows, model.log_p[buckets, k], minlength=len(texts)) for k in range(len(model.languages))], axis=1).astype(float)  # counts of nothing come as integers
     out *= (np.minimum(n, WORTH) / np.maximum(n, 1))[:, None]
     return out - out.max(axis=1, keepdims=True)
 
@@ -106,7 +107,7 @@ def visible_text(html: Column) -> Column:
 
 def declared_language(html: Column) -> Column:
     """The first lang attribute of the html element, its main part in lower case; null if there is none."""
-    said = F.lower(F.regexp_extract(html, r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", 1))
+    said = F.lower(F.regexp_extract(html, r"(?is)<html\b[^<>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", 1))
     return F.when(said != "", said)
 
 
@@ -119,10 +120,10 @@ def _smoothed(languages: range, sums: str, own: str, weight: float, parent: list
 
 def identify(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, lang, confidence, text_lang, declared, suffix, host; one row per row of pages."""
-    host = host_of(F.col(url_col))
+    host, html = host_of(F.col(f"`{url_col}`")), F.col(f"`{html_col}`")
     parsed = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
-        F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"), F.coalesce(declared_language(F.col(html_col)), F.lit("")).alias("declared"), F.coalesce(visible_text(F.col(html_col)), F.lit("")).alias("text"),
+        F.col(f"`{id_col}`").cast("long").alias("page_id"), host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
+        F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"), F.coalesce(declared_language(html), F.lit("")).alias("declared"), F.coalesce(visible_text(html), F.lit("")).alias("text"),
     )
     known = ("page_id", "host", "domain", "suffix", "declared")
     if not model.languages:
