@@ -27,7 +27,7 @@ from .text import mix, slices, sort_rows, words_of
 
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 SYMBOLS, SHOUTS = b"#*$%&|<>", b"!"
-#: At most so many labelled rows are fitted, the first by a hash of the id.
+#: At most so many labelled rows are fitted, the first by a hash of the id, and so many go to the driver.
 MAX_LABELLED = 50_000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_upper", "n_letters", "n_shouts", "n_lines")
@@ -141,7 +141,7 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 stats = measure(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(stats[c], pa.int64()) for c in BASE + EXTRA)], ["doc_id", *BASE, *EXTRA])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _STATS)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, _STATS)
 
 
 @dataclass(frozen=True)
@@ -241,13 +241,14 @@ def base_failed() -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> list[Rule]:
     """Decision list from labels of 0 (reject) and 1, on at most max_labelled rows that pass the base rule."""
-    marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) == 0).alias("bad"))
+    marks = labels.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("_id"), (F.col(f"`{label_col}`") == 0).alias("bad"))
     place = F.md5(F.col("_id").cast("string").cast("binary"))
     marks = marks.withColumn("place", place).orderBy("place", "bad").limit(max_labelled)  # a top-k, not a sort of all
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     wanted = F.broadcast(marks.select("_id").distinct())  # at most max_labelled ids of 8 bytes
     stats = text_stats(texts.join(wanted, texts["doc_id"] == F.col("_id"), "left_semi"))
-    rows = features(stats).join(marks, F.col("doc_id") == F.col("_id")).where(~base_failed()).select("bad", "place", *FEATURES).toPandas()
+    rows = features(stats).join(marks, F.col("doc_id") == F.col("_id")).where(~base_failed()).select("bad", "place", *FEATURES)
+    rows = rows.orderBy("place", "bad", *FEATURES).limit(max_labelled).toPandas()  # ids that repeat make no more rows than that
     rows = rows.sort_values(["place", "bad", *FEATURES], kind="stable")
     if not len(rows):
         return []
@@ -280,8 +281,10 @@ def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def good_documents(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of docs that pass, all columns kept; measured where they lie, without a join."""
-    names = list(docs.columns)
-    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    doc, words = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    whole = plain.select(doc.cast("long").alias("doc_id"), words.cast("string").alias("text"), F.struct(*names).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,6 +292,6 @@ def good_documents(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", t
                 stats = measure(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(stats[c], pa.int64()) for c in BASE + EXTRA), part.column("row")], ["doc_id", *BASE, *EXTRA, "row"])
 
-    fields = "row struct<" + ", ".join(f"c{k}: {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(names)) + ">"
+    fields = "row struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in plain.schema) + ">"
     stats = whole.mapInArrow(run, f"{_STATS}, {fields}")
-    return judged(stats, rules).where("kept").select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
+    return judged(stats, rules).where("kept").select("row.*").toDF(*docs.columns)
