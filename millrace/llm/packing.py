@@ -34,6 +34,8 @@ from .text import slices
 CAPACITY, END_ID, CHUNK = 2048, 0, 4096
 #: Distinct stretches of text whose ids a worker remembers; then it starts anew.
 REMEMBERED = 500_000
+#: Stretches of more bytes go to ``tokenizers`` itself: on a million spaces the faster encoder's pattern exhausts its stack.
+LONG_STRETCH = 100_000
 
 
 #: Fixed value: the pre-tokenizer of byte-level BPE files.
@@ -73,6 +75,7 @@ class Encoder:
         letters = _bytes_of_letters()
         ranks = {bytes(letters[c] for c in token): rank for token, rank in file["model"]["vocab"].items() if token not in special}
         self.encode = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.path = path
         self.known: dict[bytes, int] = {}
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
@@ -120,13 +123,18 @@ class Encoder:
         until = np.append(0, after)[np.searchsorted(cuts, ends)]
         return ids, np.diff(until)
 
+    def _long(self, stretch: str) -> list[int]:
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path).encode(stretch, add_special_tokens=False).ids
+
     def _places(self, stretches: list[bytes]) -> np.ndarray:
         if len(self.known) > REMEMBERED:
             self.known, self.ids, self.ends = {}, self.ids[:0], self.ends[:1]
         new = [s for s in stretches if s not in self.known]
         if new:
             encode, first = self.encode, len(self.known)
-            lists = [[self.added[s]] if s in self.added else encode(s.decode()) for s in new]
+            lists = [[self.added[s]] if s in self.added else encode(s.decode()) if len(s) <= LONG_STRETCH else self._long(s.decode()) for s in new]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             self.known.update(zip(new, range(first, first + len(new)), strict=True))
             self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(lists), np.uint32, sizes.sum()))
@@ -162,7 +170,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     out.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(stop - start)), pa.int32()), pa.array(ids.view("<i4"))))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(out)])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
@@ -226,8 +234,8 @@ def packed(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = table.sparkSession
     histogram = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     where = spark.sparkContext.broadcast(_places(plan(histogram, capacity)))
-    chunks = F.ceil(F.lit(sum(histogram.values())) / CHUNK).cast("long")
-    rows = table.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), chunks))
+    chunks = spark.createDataFrame([(k, -(-n // CHUNK)) for k, n in histogram.items()], "length long, chunks long")  # at most capacity rows
+    rows = table.join(F.broadcast(chunks), "length").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.col("chunks"))).select(*table.columns, "chunk")
     order = Window.partitionBy("length", "chunk").orderBy(*[F.col(c) for c in table.columns if c != "ids"])
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy("length", "chunk").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
