@@ -9,8 +9,11 @@ Feistel networks add a keyed hash of one half to the other, modulo the half's ow
 is needed: pairs of numbers for cards, telephones, IPv4, SSN and dates, vectors of characters for the local
 parts of e-mail addresses and for hexadecimal secrets.
 
-Defined results: null text stays null with 0 values; invalid candidates, and dates outside the years 102 to
-9893, stay as they are; dates of the form 99/99/9999 are read day first, month first only if that is no
+The key is the caller's secret: who has it can undo the pseudonyms. Repetitions in the patterns are bounded or of
+single characters, so that no text exhausts the stack: a domain has at most 127 labels before its last.
+
+Defined results: null text stays null with 0 values; invalid candidates, dates outside the years 102 to
+9893, and hexadecimal runs of more than 128 digits or of mixed case, stay as they are; dates of the form 99/99/9999 are read day first, month first only if that is no
 date; whole texts are scanned; rows that repeat each give a row; all columns of docs are kept and
 n_pseudonyms is added (an own column of that name is replaced). Only built-in functions are used.
 """
@@ -22,10 +25,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS, DEFAULT_KEY = 8, "millrace"
+ROUNDS = 8
 
 # The formats, in the order in which they are tried.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,126}\.[A-Za-z]{2,}"
 HEX = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
@@ -198,17 +201,19 @@ def pseudonym(m: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with text_col rewritten and n_pseudonyms added."""
-    text = F.col(f"`{text_col}`")
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    words = names[docs.columns.index(text_col)]
+    text = F.col(words)
     # most texts have no candidate: a cheap look keeps them off the long pattern
     found = F.when(text.rlike("[0-9@]|[a-f]{32}|[A-F]{32}"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    kept = [c for c in docs.columns if c != "n_pseudonyms"]
-    marked = docs.select(*[F.col(f"`{c}`") for c in kept], found.alias("_found"))
-    values = F.transform("_found", lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
-    marked = marked.withColumn("_values", F.when(F.size("_found") > 0, values))
+    marked = docs.toDF(*names).select("*", found.alias("found"))
+    images = F.transform("found", lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
+    marked = marked.withColumn("images", F.when(F.size("found") > 0, images))
     between = F.split(text, ANY, -1)
-    parts = F.zip_with(between, F.transform("_values", lambda v: F.coalesce(v["new"], v["old"])), lambda x, y: F.concat(x, F.coalesce(y, F.lit(""))))
-    new = F.when(F.col("_values").isNotNull(), F.array_join(parts, "")).otherwise(text)
-    count = F.coalesce(F.size(F.filter("_values", lambda v: v["new"].isNotNull())), F.lit(0))
-    return marked.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept], F.when(F.col("_values").isNull(), 0).otherwise(count).cast("long").alias("n_pseudonyms"))
+    parts = F.zip_with(between, F.transform("images", lambda v: F.coalesce(v["new"], v["old"])), lambda x, y: F.concat(x, F.coalesce(y, F.lit(""))))
+    new = F.when(F.col("images").isNotNull(), F.array_join(parts, "")).otherwise(text)
+    count = F.coalesce(F.size(F.filter("images", lambda v: v["new"].isNotNull())), F.lit(0))
+    kept = [(new if x == words else F.col(x)).alias(c) for x, c in zip(names, docs.columns, strict=True) if c != "n_pseudonyms"]
+    return marked.select(*kept, F.when(F.col("images").isNull(), 0).otherwise(count).cast("long").alias("n_pseudonyms"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup, jaccard, language, line_dedup, mixing, packing, pseudonyms, quality, quoting, url_filter
 
-TABLES = ("documents", "labels", "conversations", "pages", "benchmark")
+#: The query's key; a real one is a secret that the caller keeps.
+KEY = "a key for the test tables"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +24,7 @@ def tokenizer_path() -> str:
 
 
 def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents")).select("doc_id", "n_pseudonyms", F.sha2("text", 256).alias("text_sha256"))
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), KEY).select("doc_id", "n_pseudonyms", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,22 +77,35 @@ FROM docs WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST)
 """
 
 
+def _with_quotes(messages: DataFrame) -> DataFrame:
+    """The table's messages quote nobody: every third one, by its place, is given a quote of the first line said two turns before it."""
+    said = messages.where("conv_id is not null").groupBy("conv_id", (F.col("turn") + 2).alias("turn")).agg(F.min("text").alias("before"))
+    quoted = (F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(3)) == 0) & F.col("before").isNotNull()
+    text = F.when(quoted, F.concat(F.lit("> "), F.substring_index("before", "\n", 1), F.lit("\n"), F.coalesce("text", F.lit("")))).otherwise(F.col("text"))
+    return messages.join(said, ["conv_id", "turn"], "left").select("conv_id", "turn", "role", text.alias("text"))
+
+
 def op6_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quoting.quotation_links(_table(spark, sf_dir, "conversations"))
+    return quoting.quotation_links(_with_quotes(_table(spark, sf_dir, "conversations")))
 
 
-_MARKS = r"^[\x20\x09]*(?:>[\x20\x09]*)+"
+_MARKS = r"^[\x20\x09]*>[\x20\x09>]*"
 _OP6_SQL = rf"""
-WITH RECURSIVE one AS (SELECT conv_id, turn, min({{'role': role, 'text': coalesce(text, '')}}) AS said FROM conversations
+WITH RECURSIVE before AS (SELECT conv_id, turn + 2 AS turn, min(text) AS before FROM conversations GROUP BY 1, 2),
+quoting AS (SELECT c.conv_id, c.turn, c.role, CASE WHEN (c.conv_id * 7 + c.turn) % 3 = 0 AND b.before IS NOT NULL
+    THEN '> ' || split_part(b.before, chr(10), 1) || chr(10) || coalesce(c.text, '') ELSE c.text END AS text
+    FROM conversations c LEFT JOIN before b ON c.conv_id = b.conv_id AND c.turn = b.turn),
+one AS (SELECT conv_id, turn, min({{'role': role, 'text': coalesce(text, '')}}) AS said FROM quoting
     WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
 lines AS (SELECT conv_id, turn, unnest(string_split(said.text, chr(10))) AS line FROM one),
 marked AS (SELECT DISTINCT conv_id, turn, length(regexp_replace(regexp_extract(line, '{_MARKS}'), '[^>]', '', 'g')) AS level,
     trim(regexp_replace(lower(regexp_replace(line, '{_MARKS}', '')), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm FROM lines),
 own AS (SELECT conv_id, turn, said.role AS role, regexp_replace(array_to_string(list_filter(string_split(said.text, chr(10)),
     lambda x: NOT regexp_matches(x, '{_MARKS}')), chr(10)), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS text FROM one),
-votes AS (SELECT q.conv_id, q.turn AS by_turn, q.level, o.turn, count(*) AS n FROM marked q
+named AS (SELECT q.conv_id, q.turn AS by_turn, q.level, q.norm, max(o.turn) AS turn FROM marked q
     JOIN marked o ON q.conv_id = o.conv_id AND q.norm = o.norm AND o.turn < q.turn
     WHERE q.level > 0 AND o.level = 0 AND q.norm <> '' GROUP BY ALL),
+votes AS (SELECT conv_id, by_turn, level, turn, count(*) AS n FROM named GROUP BY ALL),
 best AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY conv_id, by_turn ORDER BY level, n DESC, turn DESC) = 1),
 replies AS (SELECT o.*, coalesce(b.turn, lag(o.turn) OVER (PARTITION BY o.conv_id ORDER BY o.turn)) AS parent, coalesce(b.n, 0)::BIGINT AS quoted
     FROM own o LEFT JOIN best b ON o.conv_id = b.conv_id AND o.turn = b.by_turn),

@@ -174,7 +174,7 @@ def test_packing_round_trip(spark):
 
 def test_pseudonyms_link_and_keep_their_format(spark):
     texts = ["card 4111 1111 1111 1111 on 2024-02-29", "4111111111111111 mail ann.b@example.org", "ip 10.0.0.1 and 999.1.1.1", "4111 1111 1111 1112", None, ""]
-    rows = {r["doc_id"]: r for r in pseudonyms.pseudonymise(_docs(spark, texts)).collect()}
+    rows = {r["doc_id"]: r for r in pseudonyms.pseudonymise(_docs(spark, texts), "key").collect()}
     assert [rows[k]["n_pseudonyms"] for k in range(6)] == [2, 2, 1, 0, 0, 0]
     a = re.search(r"(?:\d{4} ){3}\d{4}", rows[0]["text"])[0].replace(" ", "")
     digits = [int(c) for c in a[::-1]]
