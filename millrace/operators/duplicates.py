@@ -9,9 +9,10 @@ from .columns import Roles, percentage, quoted
 
 
 def native_id(columns: tuple[str, ...]) -> Column:
-    """MD5 over length-prefixed texts of the columns, in order; null and text never meet."""
+    """MD5 over length-prefixed texts of the columns, in order; null and text never meet, NaN is null, and both zeros are one."""
+    plain = lambda c: F.when(c == "-0.0", "0.0").when(c != "NaN", c)
     part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
-    return F.md5(F.concat(*[part(quoted(c).cast("string")) for c in columns]).cast("binary"))
+    return F.md5(F.concat(*[part(plain(quoted(c).cast("string"))) for c in columns]).cast("binary"))
 
 
 def exact_duplicates(df: DataFrame, columns: tuple[str, ...], by: str) -> DataFrame:
@@ -40,10 +41,10 @@ def feature_groups(df: DataFrame, roles: Roles) -> DataFrame:
     """One row per distinct feature vector: id, row_count, labels, label_counts, source_files, is_label_conflict.
 
     Counts per vector, label and source come first, so that the sets of the second step hold distinct values only.
-    A null label or source is in no set.
+    A null label or source is in no set. Counts are dealt out by id once, which serves both further steps.
     """
     keyed = df.select(native_id(roles.features).alias("feature_group_id"), quoted(roles.label).alias("label"), quoted(roles.source).alias("source"))
-    fine = keyed.groupBy("feature_group_id", "label", "source").agg(F.count("*").alias("n"))
+    fine = keyed.groupBy("feature_group_id", "label", "source").agg(F.count("*").alias("n")).repartition("feature_group_id")
     per_label = fine.groupBy("feature_group_id", "label").agg(F.sum("n").alias("n"), F.collect_set("source").alias("sources"))
     groups = per_label.groupBy("feature_group_id").agg(
         F.sum("n").alias("row_count"), F.sort_array(F.collect_set("label")).alias("labels"),
@@ -63,6 +64,30 @@ def packed_groups(groups: DataFrame) -> DataFrame:
     return groups.select("feature_group_id", "row_count", "label_count", packed(F.col("labels")).alias("labels"), "source_file_count", packed(F.col("source_files")).alias("source_files"), "is_label_conflict")
 
 
+def parsed_list(text: Column) -> Column:
+    """The sorted parts of a packed list; null and blank give an empty one."""
+    return F.array_sort(F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def parsed_counts(text: Column) -> Column:
+    """map<label, long> of packed counts, ``A: 10 | B: 5``; an item is cut at its last colon, items without one are left out."""
+    items = F.filter(parsed_list(text), lambda x: F.regexp_like(x, F.lit(r":\s*[0-9]+$")))
+    return F.map_from_entries(F.transform(items, lambda x: F.struct(F.trim(F.regexp_replace(x, r":[^:]*$", "")).alias("key"), F.trim(F.substring_index(x, ":", -1)).cast("long").alias("value"))))
+
+
+def feature_duplicates(groups: DataFrame) -> DataFrame:
+    """metric and value: groups of more than one row across all sources, their rows, and the rows beyond the first."""
+    more = F.col("row_count") > 1
+    sums = groups.agg(F.count_if(more).alias("duplicate_groups"), F.coalesce(F.sum(F.when(more, F.col("row_count"))), F.lit(0)).alias("duplicate_rows"), F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("extra_rows"), F.count_if(more & F.col("is_cross_source")).alias("cross_source_groups"))
+    return as_metrics(sums)
+
+
+def rare_labels(involvement: DataFrame, divisor: int) -> DataFrame:
+    """Labels with at most one part in divisor of all records."""
+    total = involvement.agg(F.sum("record_count").alias("total"))  # one row
+    return involvement.join(F.broadcast(total)).where(F.col("record_count") * divisor <= F.col("total")).drop("total")
+
+
 def conflicts(groups: DataFrame) -> DataFrame:
     return groups.where("is_label_conflict")
 
@@ -91,7 +116,7 @@ def conflict_pairs(groups: DataFrame) -> DataFrame:
     """Unordered pairs of labels that meet in a conflict; a pair counts the rows of its two labels."""
     entries = F.map_entries("label_counts")
     rows = conflicts(groups).select("is_cross_source", F.explode(entries).alias("a"), entries.alias("all")).select("is_cross_source", "a", F.explode("all").alias("b")).where("a.key < b.key")
-    return rows.groupBy(F.col("a.key").alias("label_a"), F.col("b.key").alias("label_b")).agg(F.count("*").alias("conflict_groups"), F.sum(F.col("a.value") + F.col("b.value")).alias("rows_in_conflicts"), F.count_if("is_cross_source").alias("cross_source_groups"))
+    return rows.groupBy(F.col("a.key").alias("label_a"), F.col("b.key").alias("label_b")).agg(F.count("*").alias("conflict_groups"), F.sum(F.col("a.value") + F.col("b.value")).alias("rows_in_conflicts"), F.count_if("is_cross_source").alias("cross_source_groups"), F.count_if(~F.col("is_cross_source")).alias("same_source_groups"))
 
 
 def conflict_sources(groups: DataFrame) -> DataFrame:

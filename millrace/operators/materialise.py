@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import Roles, quoted
@@ -46,3 +46,15 @@ def leakage_audit(routed: DataFrame, roles: Roles, assignment: DataFrame) -> Dat
         F.coalesce(F.sum("misplaced"), F.lit(0)).alias("misplaced_rows"), F.coalesce(F.sum("unassigned"), F.lit(0)).alias("unassigned_rows"),
     )
     return sums.unpivot([], sums.columns, "metric", "n")
+
+
+def written_audit(spark: SparkSession, path: str, roles: Roles, assignment: DataFrame) -> DataFrame:
+    """check and n over splits as they were written: rows, lacking_columns, extra_columns (the group's id among them), labels_not_in_every_split, and what ``leakage_audit`` finds, ids computed anew from the files."""
+    rows = spark.read.parquet(path)
+    expected = {*roles.features, roles.label, "Source_File", "split"}
+    have = set(rows.columns) - {roles.source}
+    per_label = rows.where(quoted(roles.label).isNotNull()).groupBy(quoted(roles.label).alias("label")).agg(F.count_distinct("split").alias("splits"))
+    n_splits = rows.select("split").distinct().agg(F.count("*").alias("n"))  # one row
+    lacking = per_label.join(F.broadcast(n_splits)).agg(F.count_if(F.col("splits") < F.col("n")).alias("n"))
+    names = spark.createDataFrame([("lacking_columns", len(expected - have - {roles.source})), ("extra_columns", len(have - expected))], "metric string, n long")
+    return names.unionByName(lacking.select(F.lit("labels_not_in_every_split").alias("metric"), "n")).unionByName(leakage_audit(rows, roles, assignment)).withColumnRenamed("metric", "check")

@@ -65,3 +65,10 @@ def group_size_stats(groups: DataFrame, size: str = "row_count", thresholds: tup
     n = quoted(size)
     over = [F.count_if(n >= t).alias(f"at_least_{t}") for t in thresholds]
     return groups.agg(F.min(n).alias("smallest"), F.max(n).alias("largest"), F.avg(n).alias("mean"), F.median(n).alias("median"), F.count_if(n == 1).alias("singletons"), F.count_if(n > 1).alias("repeated"), *over)
+
+
+def ranked(counts: DataFrame, largest_first: list[str], then: list[str], top: int | None = None) -> DataFrame:
+    """counts in the order of a report: numbers falling, then names rising so that ties have one order; rank from 1. top keeps the first rows without a sort of all."""
+    order = [F.col(c).desc_nulls_last() for c in largest_first] + [F.col(c).asc_nulls_first() for c in then]
+    rows = counts.orderBy(*order) if top is None else counts.orderBy(*order).limit(top)
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))

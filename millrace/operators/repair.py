@@ -39,6 +39,13 @@ def mapping_report(df: DataFrame, label: str, raw: str = "Raw_Label") -> DataFra
     return df.groupBy(quoted(raw).alias("raw_label"), quoted(label).alias("label")).agg(F.count("*").alias("n"))
 
 
+def label_mismatches(df: DataFrame, raw: str, label: str, mapping: dict[str, str]) -> DataFrame:
+    """raw_label, label, expected and n of the rows whose label is not what the mapping makes of the raw one; null is a value."""
+    expected = mapped(quoted(raw), mapping)
+    wrong = df.select(quoted(raw).alias("raw_label"), quoted(label).alias("label"), expected.alias("expected")).where(~F.col("expected").eqNullSafe(F.col("label")))
+    return wrong.groupBy("raw_label", "label", "expected").agg(F.count("*").alias("n"))
+
+
 def inconsistent_labels(df: DataFrame, label: str) -> DataFrame:
     """canonical (trimmed, lower case) with more than one spelling, and the spellings."""
     kinds = df.where(quoted(label).isNotNull()).select(quoted(label).alias("l")).distinct()

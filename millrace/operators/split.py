@@ -144,3 +144,23 @@ def label_pivot(assigned: DataFrame, ratios: dict[str, float] = RATIOS) -> DataF
 def row_pivot(rows: DataFrame, key: str, ratios: dict[str, float] = RATIOS) -> DataFrame:
     """Per value of key the rows of each split, and total."""
     return rows.groupBy(quoted(key).alias(key)).agg(*[F.count_if(F.col("split") == s).alias(s) for s in ratios], F.count("*").alias("total"))
+
+
+def split_design(groups: DataFrame, ratios: dict[str, float] = RATIOS) -> DataFrame:
+    """Per split: target_ratio, target_records (of all records, rounded), largest_group, and fits: whether that group is within the target."""
+    total = groups.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"), F.coalesce(F.max("row_count"), F.lit(0)).alias("largest_group"))
+    aims = total.crossJoin(splits_table(groups, ratios)).withColumn("target_records", F.round(F.col("n") * F.col("target_ratio")).cast("long"))  # one row times the splits
+    return aims.select("split", "target_ratio", "target_records", "largest_group", (F.col("largest_group") <= F.col("target_records")).alias("fits"))
+
+
+def assignment_report(groups: DataFrame, assignment: DataFrame, ratios: dict[str, float] = RATIOS) -> DataFrame:
+    """check and n, all 0 for a whole assignment: repeated_ids, null_splits, outside_domain, missing_ids, unknown_ids, and lost_records (rows of groups less rows assigned, each row of an assignment counted)."""
+    split = F.col("split")
+    per_id = assignment.groupBy("feature_group_id").agg(F.count("*").alias("times"), F.count_if(split.isNull()).alias("nulls"), F.count_if(~split.isin(*ratios)).alias("outside"))
+    both = groups.select("feature_group_id", "row_count").join(per_id, "feature_group_id", "full")
+    sums = both.agg(
+        F.count_if(F.col("times") > 1).alias("repeated_ids"), F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_splits"), F.coalesce(F.sum("outside"), F.lit(0)).alias("outside_domain"),
+        F.count_if(F.col("times").isNull()).alias("missing_ids"), F.count_if(F.col("row_count").isNull()).alias("unknown_ids"),
+        F.coalesce(F.sum(F.coalesce("row_count", F.lit(0)) * (1 - F.coalesce("times", F.lit(0)))), F.lit(0)).alias("lost_records"),
+    )
+    return sums.unpivot([], sums.columns, "check", "n")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks, columns, duplicates, fingerprint, materialise, profile, repair, split
+from ..sources import files
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -16,7 +17,8 @@ FLOWS = columns.Roles(("l_suppkey", "l_quantity", "l_discount", "l_tax"), "l_ret
 PRIORITIES = {"4-NOT SPECIFIED": "4-Not Specified"}
 DOMAIN = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-Not Specified", "5-LOW", "6-NEVER"]
 EXPECTED_TYPES = ["click", "purchase", "view", "refund"]
-RARE = 17000
+#: A label is rare with at most one part in so many of all records.
+RARE = 3
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -226,7 +228,7 @@ def conflict_label_involvement(spark, sf_dir):
     return duplicates.conflict_labels(_groups(spark, sf_dir))
 
 
-@query(_GROUPS + """SELECT a.label AS label_a, b.label AS label_b, count(*) AS conflict_groups, sum(a.n + b.n)::BIGINT AS rows_in_conflicts, count(*) FILTER (is_cross) AS cross_source_groups
+@query(_GROUPS + """SELECT a.label AS label_a, b.label AS label_b, count(*) AS conflict_groups, sum(a.n + b.n)::BIGINT AS rows_in_conflicts, count(*) FILTER (is_cross) AS cross_source_groups, count(*) FILTER (NOT is_cross) AS same_source_groups
     FROM conflict c JOIN per a ON c.id = a.id JOIN per b ON c.id = b.id AND a.label < b.label GROUP BY 1, 2""")
 def conflict_label_pairs(spark, sf_dir):
     return duplicates.conflict_pairs(_groups(spark, sf_dir))
@@ -262,9 +264,9 @@ def label_group_involvement(spark, sf_dir):
     return duplicates.label_involvement(_groups(spark, sf_dir))
 
 
-@query(_INVOLVED + f"SELECT * FROM i WHERE record_count <= {RARE}")
+@query(_INVOLVED + f"SELECT * FROM i WHERE record_count * {RARE} <= (SELECT sum(record_count) FROM i)")
 def rare_classes(spark, sf_dir):
-    return duplicates.label_involvement(_groups(spark, sf_dir)).where(F.col("record_count") <= RARE)
+    return duplicates.rare_labels(duplicates.label_involvement(_groups(spark, sf_dir)), RARE)
 
 
 @query(_INVOLVED + "SELECT label, split, target_ratio, round(record_count * target_ratio, 4) AS target_records FROM i CROSS JOIN (VALUES ('train', 0.7::DOUBLE), ('validation', 0.15::DOUBLE), ('test', 0.15::DOUBLE)) AS t(split, target_ratio)")
@@ -311,9 +313,38 @@ def split_source_pivot(spark, sf_dir):
     return split.row_pivot(materialise.route(_flows(spark, sf_dir), FLOWS, _assigned(spark, sf_dir)), "Source_File")
 
 
-@query(_SPLIT + "SELECT 'repeated_left' AS \"check\", 0::BIGINT AS n UNION ALL SELECT 'repeated_right', 0 UNION ALL SELECT 'missing_right', 0 UNION ALL SELECT 'missing_left', 0 UNION ALL SELECT 'matched', count(*) FROM s")
+def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assignment with faults by id: some ids are lost, some have no split or one of no known name, some stand twice, some are renamed."""
+    at = F.substring("feature_group_id", 1, 2)
+    rows = _assigned(spark, sf_dir).where(at != "a0").withColumn("split", F.when(at == "c0", "holdout").when(at != "b0", F.col("split")))
+    rows = rows.withColumn("feature_group_id", F.when(at == "e0", F.concat(F.lit("x"), "feature_group_id")).otherwise(F.col("feature_group_id")))
+    return rows.select("feature_group_id", "split", F.explode(F.sequence(F.lit(1), F.when(at == "d0", 2).otherwise(1)))).drop("col")
+
+
+_FAULTY = _SPLIT + """, f AS (SELECT CASE WHEN left(id, 2) = 'e0' THEN 'x' || id ELSE id END AS id, CASE left(id, 2) WHEN 'b0' THEN NULL WHEN 'c0' THEN 'holdout' ELSE split END AS split
+    FROM s CROSS JOIN (VALUES (1), (2)) AS t(copy) WHERE left(id, 2) <> 'a0' AND (copy = 1 OR left(id, 2) = 'd0')),
+    fid AS (SELECT id, count(*) AS times FROM f GROUP BY 1) """
+
+
+@query(_FAULTY + """SELECT 'repeated_left' AS "check", 0::BIGINT AS n UNION ALL SELECT 'repeated_right', count(*) FROM fid WHERE times > 1 UNION ALL SELECT 'missing_right', count(*) FROM s WHERE id NOT IN (SELECT id FROM fid)
+    UNION ALL SELECT 'missing_left', count(*) FROM fid WHERE id NOT IN (SELECT id FROM s) UNION ALL SELECT 'matched', count(*) FROM s WHERE id IN (SELECT id FROM fid)""")
 def assignment_join(spark, sf_dir):
-    return materialise.one_to_one(_groups(spark, sf_dir), _assigned(spark, sf_dir), "feature_group_id")
+    return materialise.one_to_one(_groups(spark, sf_dir), _faulty(spark, sf_dir), "feature_group_id")
+
+
+@query(_FAULTY + """SELECT 'repeated_ids' AS "check", count(*) AS n FROM fid WHERE times > 1 UNION ALL SELECT 'null_splits', count(*) FROM f WHERE split IS NULL
+    UNION ALL SELECT 'outside_domain', count(*) FROM f WHERE split NOT IN ('train', 'validation', 'test') UNION ALL SELECT 'missing_ids', count(*) FROM s WHERE id NOT IN (SELECT id FROM fid)
+    UNION ALL SELECT 'unknown_ids', count(*) FROM fid WHERE id NOT IN (SELECT id FROM s)
+    UNION ALL SELECT 'lost_records', (SELECT sum(row_count) FROM s)::BIGINT - (SELECT sum(row_count * times) FROM s JOIN fid USING (id))::BIGINT""")
+def assignment_validation(spark, sf_dir):
+    return split.assignment_report(_groups(spark, sf_dir), _faulty(spark, sf_dir))
+
+
+@query(_GROUPS + """, t AS (SELECT sum(row_count) AS n, max(row_count) AS largest_group FROM x)
+    SELECT split, target_ratio, round(n * target_ratio)::BIGINT AS target_records, largest_group, largest_group <= round(n * target_ratio) AS fits
+    FROM t CROSS JOIN (VALUES ('train', 0.7::DOUBLE), ('validation', 0.15::DOUBLE), ('test', 0.15::DOUBLE)) AS r(split, target_ratio)""")
+def split_design(spark, sf_dir):
+    return split.split_design(_groups(spark, sf_dir))
 
 
 @query(_SPLIT.replace(f"SELECT {_ID} AS id,", f"SELECT {', '.join(FLOWS.features)}, {_ID} AS id,") + f"SELECT {', '.join(FLOWS.features)}, label AS l_returnflag, source AS l_linestatus, source AS \"Source_File\", split FROM k JOIN s USING (id)")
@@ -321,11 +352,63 @@ def materialize_rows(spark, sf_dir):
     return materialise.route(_flows(spark, sf_dir), FLOWS, _assigned(spark, sf_dir))
 
 
-@query(_SPLIT + """SELECT 'rows' AS metric, (SELECT count(*) FROM k) AS n UNION ALL SELECT 'distinct_groups', (SELECT count(*) FROM s) UNION ALL SELECT 'groups_in_several_splits', 0
-    UNION ALL SELECT 'misplaced_rows', 0 UNION ALL SELECT 'unassigned_rows', 0""")
+@query(_SPLIT.replace(f"SELECT {_ID} AS id,", f"SELECT l_suppkey, {_ID} AS id,") + """, m AS (SELECT k.id, s.split AS expected, CASE WHEN l_suppkey % 50 = 7 AND source = 'O' THEN 'test' ELSE s.split END AS split FROM k JOIN s USING (id)),
+    d AS (SELECT id, count(DISTINCT split) AS splits FROM m GROUP BY 1)
+    SELECT 'rows' AS metric, (SELECT count(*) FROM m) AS n UNION ALL SELECT 'distinct_groups', (SELECT count(*) FROM d) UNION ALL SELECT 'groups_in_several_splits', (SELECT count(*) FROM d WHERE splits > 1)
+    UNION ALL SELECT 'misplaced_rows', (SELECT count(*) FROM m WHERE split <> expected AND left(id, 1) <> '0') UNION ALL SELECT 'unassigned_rows', (SELECT count(*) FROM m WHERE left(id, 1) = '0')""")
 def leakage_audit(spark, sf_dir):
+    """Some rows are moved to another split, and some groups are struck from the assignment, so that the audit has something to find."""
     assigned = _assigned(spark, sf_dir)
-    return materialise.leakage_audit(materialise.route(_flows(spark, sf_dir), FLOWS, assigned), FLOWS, assigned)
+    rows = materialise.route(_flows(spark, sf_dir), FLOWS, assigned)
+    moved = rows.withColumn("split", F.when((F.col("l_suppkey") % 50 == 7) & (F.col("l_linestatus") == "O"), "test").otherwise(F.col("split")))
+    return materialise.leakage_audit(moved, FLOWS, assigned.where("feature_group_id not like '0%'"))
+
+
+@query(_SPLIT + "SELECT label AS l_returnflag, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation, count(*) FILTER (split = 'test') AS test, count(*) AS total FROM k JOIN s USING (id) GROUP BY 1")
+def split_label_row_pivot(spark, sf_dir):
+    return split.row_pivot(materialise.route(_flows(spark, sf_dir), FLOWS, _assigned(spark, sf_dir)), FLOWS.label)
+
+
+@query(_GROUPS + """, t AS (SELECT count(*) FILTER (row_count > 1) AS duplicate_groups, sum(row_count) FILTER (row_count > 1) AS duplicate_rows, sum(row_count - 1) AS extra_rows,
+    count(*) FILTER (row_count > 1 AND n_sources > 1) AS cross_source_groups FROM x) """ + _long("t", "duplicate_groups", "duplicate_rows", "extra_rows", "cross_source_groups"))
+def feature_duplicates(spark, sf_dir):
+    return duplicates.feature_duplicates(_groups(spark, sf_dir))
+
+
+@query(_GROUPS + "SELECT id AS feature_group_id, n_labels AS n_labels, labels[1] AS first_label, (SELECT sum(n)::BIGINT FROM per WHERE per.id = conflict.id) AS n_counted FROM conflict")
+def packed_lists_parsed(spark, sf_dir):
+    """The report's packed lists and counts, read back."""
+    report = duplicates.conflict_report(_groups(spark, sf_dir))
+    labels, counts = duplicates.parsed_list(F.col("labels")), duplicates.parsed_counts(F.col("label_counts"))
+    total = F.aggregate(F.map_values(counts), F.lit(0).cast("long"), lambda s, x: s + x)
+    return report.select("feature_group_id", F.size(labels).cast("long").alias("n_labels"), F.get(labels, F.lit(0)).alias("first_label"), total.alias("n_counted"))
+
+
+@query("""WITH n AS (SELECT o_custkey, count(*) AS n_orders, max(o_orderkey) AS last_order FROM orders GROUP BY 1)
+    SELECT *, row_number() OVER (ORDER BY n_orders DESC, last_order DESC, o_custkey) AS rank FROM n QUALIFY rank <= 20""")
+def top_customers(spark, sf_dir):
+    """The first twenty of a report in two falling orders."""
+    counts = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_orderkey").alias("last_order"))
+    return profile.ranked(counts, ["n_orders", "last_order"], ["o_custkey"], top=20)
+
+
+@query("WITH n AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1) SELECT *, row_number() OVER (ORDER BY n DESC, event_type) AS rank FROM n")
+def ordered_counts(spark, sf_dir):
+    return profile.ranked(_table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n")), ["n"], ["event_type"])
+
+
+@query(_SPELLED + """, m AS (SELECT label AS raw_label, CASE label WHEN '1-URGENT' THEN 'URGENT' ELSE label END AS expected, CASE WHEN label = '2-HIGH' THEN NULL WHEN label = '1-URGENT' THEN 'URGENT' ELSE trim(label) END AS label FROM l)
+    SELECT raw_label, label, expected, count(*) AS n FROM m WHERE label IS DISTINCT FROM expected GROUP BY 1, 2, 3""")
+def label_mismatches(spark, sf_dir):
+    """Labels that were trimmed, and some lost, after a mapping that does neither."""
+    label = F.col("raw")
+    rows = _spelled(spark, sf_dir).select(F.col("label").alias("raw")).withColumn("label", F.when(label != "2-HIGH", F.when(label == "1-URGENT", "URGENT").otherwise(F.trim(label))))
+    return repair.label_mismatches(rows, "raw", "label", {"1-URGENT": "URGENT"})
+
+
+@query("SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows, (SELECT count(*) FROM information_schema.columns WHERE table_name = 'lineitem')::INTEGER AS n_columns FROM lineitem")
+def parquet_footers(spark, sf_dir):
+    return files.parquet_files(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @query()
