@@ -6,13 +6,17 @@ machine (a local master) whose session names none.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TIDY_SECONDS = 4
 _written: list[str] = []
+_tidied = 0.0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,14 +35,24 @@ def _path(spark: SparkSession, where: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets the driver drop what finished jobs leave, at most every TIDY_SECONDS: Spark deletes shuffle files once nothing on the driver refers to them, which is seldom noticed within a job."""
+    global _tidied
+    if time.monotonic() - _tidied > TIDY_SECONDS:
+        gc.collect()
+        spark._jvm.System.gc()
+        _tidied = time.monotonic()
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Writes df once as Parquet and returns the written table."""
+    """Writes df once as Parquet and returns the written table. What the writing shuffled is no longer needed then."""
     spark = df.sparkSession
     where = f"{shared_dir(spark)}/scratch-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(where)
     path, fs = _path(spark, where)
     fs.deleteOnExit(path)
     _written.append(where)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(where)
 
 
