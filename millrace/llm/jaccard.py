@@ -5,8 +5,8 @@ first, by a sketch of document counts with ``CELLS`` cells (any order gives the
 lists short), and enters the index lists of its prefix.
 
 Answers are derived from those of a similar set. Of the sets in its lists, the one with the lowest hash is a
-class's pivot; a class near its pivot (at most ``NEAR`` times the difference that a link may have) is a member of the
-pivot's group and is held by its difference from the group's centre, which is the pivot with each shingle
+class's pivot; a class that may be near its pivot by their sketches (at most ``NEAR`` times the difference that a link may
+have), or that seems to differ in less than ``ALIKE`` of their sizes from a pivot of more than ``CROWD`` classes, is a member of the pivot's group and is held by its difference from the group's centre, which is the pivot with each shingle
 turned that differs in more than half of the members. With weight e = (100 + p) * difference - (100 - p) * size,
 two members of a group link if and only if 2 (100 + p) * shared differences >= e + e'. So members with e + e' <= 0
 link without a comparison: the answers of one are a stretch of the group's members in order of e, counted by
@@ -33,6 +33,7 @@ component and its links; an empty table gives an empty result; only the id and t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,13 +43,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import scratch
+from .scratch import discard, scratch
 from .sieve import possibly_in
 from .text import shingles_of, slices
 
 #: The proven bound of what is broadcast: 2 bytes a cell.
 CELLS, BLOCK = 1 << 22, 1 << 14
-NEAR, SALTS = 2, 64
+NEAR, CROWD, ALIKE, SALTS = 2, 100, 0.7, 64
 #: Bits of a sketch of a set: about two a shingle, a power of two within these bounds.
 LEAST_BITS, MOST_BITS = 256, 1 << 16
 
@@ -103,14 +104,19 @@ def _odd_bits(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [packed[(e - n) // 8 : e // 8] for e, n in zip(ends.tolist(), bits.tolist(), strict=True)]
 
 
-def _least_difference(a: bytes, b: bytes) -> int:
-    """A lower bound of the symmetric difference of two sets, from their sketches."""
+def _odd_between(a: bytes, b: bytes) -> tuple[int, int]:
+    """(odd bits of two sketches' sum, a lower bound of the symmetric difference of their sets; bits of the shorter)."""
     x, y = (a, b) if len(a) <= len(b) else (b, a)
     one, two, n = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(y)
     while n > len(x):  # a longer sketch folds to a shorter one
         n //= 2
         two = (two >> (8 * n)) ^ (two & ((1 << (8 * n)) - 1))
-    return (one ^ two).bit_count()
+    return (one ^ two).bit_count(), 8 * n
+
+
+def _alike(odd: int, bits: int, sizes: int) -> bool:
+    """Whether two sets seem to differ in less than ALIKE of their sizes, by what so many odd bits are expected of."""
+    return 2 * odd < bits and -math.log(1 - 2 * odd / bits) * bits / 2 < ALIKE * sizes
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -142,21 +148,25 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, id_col: str, text_col: s
 
 
 def possible(pairs: DataFrame, classes: DataFrame, percent: int, times: int = 1) -> DataFrame:
-    """The pairs a, b whose sketches allow at most times the difference that a link may have."""
+    """The pairs a, b whose sketches allow at most times the difference that a link may have; of pairs with a true column crowd, those that seem alike too."""
+    flagged = pairs if "crowd" in pairs.columns else pairs.withColumn("crowd", F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "size_a", "size_b")), strict=True)
-            fits = [_least_difference(x, y) * (100 + percent) <= times * (100 - percent) * (m + k) for x, y, m, k in rows]
-            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+            fits = []
+            for x, y, sizes, crowd in zip(*(batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "sizes", "crowd")), strict=True):
+                odd, bits = _odd_between(x, y)
+                fits.append(odd * (100 + percent) <= times * (100 - percent) * sizes or (crowd and _alike(odd, bits, sizes)))
+            yield batch.select(["a", "b", "crowd"]).filter(pa.array(fits, pa.bool_()))
 
     a = classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"), F.col("size").alias("size_a"))
     b = classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"), F.col("size").alias("size_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sketch_a", "sketch_b", "size_a", "size_b").mapInArrow(run, "a long, b long").distinct()
+    met = flagged.join(a, "a").join(b, "b").select("a", "b", "sketch_a", "sketch_b", (F.col("size_a") + F.col("size_b")).alias("sizes"), "crowd")
+    return met.mapInArrow(run, "a long, b long, crowd boolean").distinct()
 
 
 def differences(pairs: DataFrame, texts: DataFrame, n: int, percent: int, times: int = 1) -> DataFrame:
-    """a, b, size_a, size_b and diff (shingles of one of the two), of the pairs with at most times the difference that a link may have.
+    """a, b, size_a, size_b and diff (shingles of one of the two) of the pairs with at most times the difference that a link may have, and of those with a true crowd.
 
     Texts are shuffled rather than sets, which are longer, and only those that a pair names.
     """
@@ -171,13 +181,13 @@ def differences(pairs: DataFrame, texts: DataFrame, n: int, percent: int, times:
                 lengths = np.array([len(d) for d in diffs], np.int64)
                 flat = np.concatenate(diffs) if diffs else np.empty(0, np.uint64)
                 columns = [part.column("a"), part.column("b"), pa.array(sizes_a, pa.int32()), pa.array(sizes_b, pa.int32()), _lists(flat, lengths)]
-                close = pa.array(lengths * (100 + percent) <= times * (100 - percent) * (sizes_a + sizes_b))
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "size_a", "size_b", "diff"]).filter(close)
+                fits = lengths * (100 + percent) <= times * (100 - percent) * (sizes_a + sizes_b)
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "size_a", "size_b", "diff"]).filter(pa.array(fits | np.asarray(part.column("crowd"))))
 
     named = possibly_in(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id")
     own = named.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     other = named.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(own, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, size_a int, size_b int, diff array<long>")
+    return pairs.join(own, "a").join(other, "b").select("a", "b", "crowd", "text_a", "text_b").mapInArrow(run, "a long, b long, size_a int, size_b int, diff array<long>")
 
 
 SAME = ["size", "d1", "d2"]
@@ -202,10 +212,12 @@ class _Joined:
 
 def _joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> _Joined:
     texts = _texts(docs, id_col, text_col)
-    table = scratch(shingle_sets(docs, n, percent, id_col, text_col), "prefixes")
-    classes = table.where("doc_id is not null and size > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
-    classes = scratch(classes, "classes")
-    entries = classes.select("rep", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token"))
+    sets = scratch(shingle_sets(docs, n, percent, id_col, text_col), "prefixes")
+    whole = sets.where("doc_id is not null and size > 0").groupBy(*SAME).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
+    whole, table = scratch(whole, "whole"), scratch(sets.select("doc_id", *SAME), "sets")
+    discard(sets)  # the prefixes are long, and are needed no more than once
+    classes = scratch(whole.drop("prefix"), "classes")
+    entries = whole.select("rep", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "token"))
     several = classes.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("many"))  # ids that hold more than one set are no pivots and have none
     if several.isEmpty():
         entries = entries.repartition("token").withColumn("order", F.xxhash64("rep"))  # one to one for longs
@@ -213,6 +225,7 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
         entries = entries.join(several, "rep", "left").repartition("token").withColumn("order", F.when(F.col("many").isNull(), F.xxhash64("rep"))).drop("many")
     met = entries.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.min("order").alias("lead")).where("low <> high").drop("low", "high")
     lists = scratch(entries.join(met, "token"), "lists")
+    discard(whole)
 
     members = _members(lists, classes, texts, n, percent)
     within = scratch(_within(members, percent), "within")
@@ -225,8 +238,11 @@ def _members(lists: DataFrame, classes: DataFrame, texts: DataFrame, n: int, per
     """home, rep, size, diff, e: the classes near their pivots, by their differences from the centre of their group."""
     pivots = lists.where("order is not null").groupBy("rep").agg(F.min("lead").alias("lead"))
     homes = scratch(pivots.join(classes.select(F.col("rep").alias("home"), F.xxhash64("rep").alias("lead")), "lead").select("rep", "home"), "homes")
-    away = scratch(possible(homes.where("rep <> home").select(F.col("rep").alias("a"), F.col("home").alias("b")), classes, percent, NEAR), "pairs")
-    near = differences(away, texts, n, percent, NEAR).select(F.col("b").alias("home"), F.col("a").alias("rep"), F.col("size_a").alias("size"), "diff")
+    away = homes.where("rep <> home").select(F.col("rep").alias("a"), F.col("home").alias("b"))
+    crowds = away.groupBy("b").count().where(F.col("count") > CROWD).select("b", F.lit(True).alias("crowd"))
+    away = away.join(crowds, "b", "left").select("a", "b", F.coalesce("crowd", F.lit(False)).alias("crowd"))
+    close = scratch(possible(away, classes, percent, NEAR), "pairs")
+    near = differences(close, texts, n, percent, NEAR).select(F.col("b").alias("home"), F.col("a").alias("rep"), F.col("size_a").alias("size"), "diff")
     own = homes.where("rep = home").join(classes.select("rep", F.col("size").cast("int").alias("size")), "rep")
     members = scratch(near.unionByName(own.select("home", "rep", "size", F.array().cast("array<long>").alias("diff"))), "members")
 
@@ -241,15 +257,18 @@ def _members(lists: DataFrame, classes: DataFrame, texts: DataFrame, n: int, per
 
 def _within(members: DataFrame, percent: int) -> DataFrame:
     """a, b: links of members of one group with e + e' > 0, which share a difference."""
-    parts = members.select("home", "rep", "e", F.explode("diff").alias("token"))
+    parts = members.select("home", "rep", "e", "size", F.explode("diff").alias("token"))
     shared = parts.groupBy("home", "token").agg(F.count("*").alias("c"), F.max("e").alias("most")).where("c > 1 and most > 0").drop("most")
     least = members.groupBy("home").agg(F.min("e").alias("least"))
     asked = F.greatest(F.lit(1), F.ceil((F.col("e") + F.col("least")) / (2 * (100 + percent))))
     own = Window.partitionBy("home", "rep")  # at most a set's differences
-    ranked = parts.join(shared, ["home", "token"]).withColumn("k", F.row_number().over(own.orderBy("c", "token"))).withColumn("n", F.count("*").over(own))
-    first = ranked.join(least, "home").where(F.col("k") <= F.col("n") - asked + 1).select("home", "token", "rep", "e")
-    others = first.select("home", "token", F.col("rep").alias("rep_b"), F.col("e").alias("e_b"))
-    met = first.join(others, ["home", "token"]).where("rep > rep_b and e + e_b > 0").select("home", "rep", "rep_b").distinct()
+    ranked = parts.join(shared, ["home", "token"]).withColumn("rest", F.count("*").over(own) - F.row_number().over(own.orderBy("c", "token")))
+    first = ranked.join(least, "home").where(F.col("rest") + 1 >= asked).select("home", "token", "rep", "e", "size", "rest")
+    others = first.select("home", "token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "e", "size", "rest")])
+    # at its first common difference a pair has at most the rest of either to share
+    fits = 2 * (100 + percent) * (1 + F.least("rest", "rest_b")) >= F.col("e") + F.col("e_b")
+    sizes = (F.col("size_b") * 100 >= F.col("size") * percent) & (F.col("size") * 100 >= F.col("size_b") * percent)
+    met = first.join(others, ["home", "token"]).where((F.col("rep") > F.col("rep_b")) & (F.col("e") + F.col("e_b") > 0) & fits & sizes).select("home", "rep", "rep_b").distinct()
     a, b = members.select("home", "rep", "e", "diff"), members.select("home", F.col("rep").alias("rep_b"), F.col("e").alias("e_b"), F.col("diff").alias("diff_b"))
     links = 2 * (100 + percent) * F.size(F.array_intersect("diff", "diff_b")) >= F.col("e") + F.col("e_b")
     return met.join(a, ["home", "rep"]).join(b, ["home", "rep_b"]).where(links).select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))

@@ -53,7 +53,16 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     fs.deleteOnExit(path)
     _written.append(where)
     tidy(spark)
-    return spark.read.schema(df.schema).parquet(where)
+    table = spark.read.schema(df.schema).parquet(where)
+    table.scratch_path = where
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table that scratch returned; call it only when nothing reads it any more."""
+    path, fs = _path(table.sparkSession, table.scratch_path)
+    fs.delete(path, True)
+    _written.remove(table.scratch_path)
 
 
 def mark() -> int:

@@ -83,8 +83,8 @@ def test_sketches_bound_the_difference():
         a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
         b = np.unique(np.concatenate([a[: rng.integers(0, len(a) + 1)], rng.integers(0, 1 << 63, rng.integers(0, 300), dtype=np.uint64)]))
         x, y = jaccard._odd_bits(np.concatenate([a, b]), np.array([len(a), len(b)]))
-        assert jaccard._least_difference(x, y) == jaccard._least_difference(y, x) <= len(np.setxor1d(a, b))
-        assert jaccard._least_difference(x, x) == 0
+        assert jaccard._odd_between(x, y) == jaccard._odd_between(y, x) and jaccard._odd_between(x, y)[0] <= len(np.setxor1d(a, b))
+        assert jaccard._odd_between(x, x)[0] == 0
 
 
 def test_odd_names_are_kept(spark):
