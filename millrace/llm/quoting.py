@@ -10,8 +10,8 @@ a tree, and messages are ordered along it, a reply after what it answers, siblin
 
 A quoted line is matched with one message only, so matches grow with the lines, however often one is said. Depth and
 place come from the tour around each tree (into a message, through its replies, out of it), ranked by pointers that double in
-length: a chain of n messages takes log2(2 n) joins of 2 n rows. Neighbours in a conversation are found within ``STRIDE`` turns
-and then over strides, so no conversation is ever sorted in one task.
+length: a conversation of n messages is in log2(2 n) joins of at most 2 n rows each, and a longer one beside it adds none.
+Neighbours in a conversation are found within ``STRIDE`` turns and then over strides, so no conversation is ever sorted in one task.
 
 Defined results: null text is empty and answers the message before it; null conversations or turns are
 left out; of several rows with one conversation and turn the smallest (role, text) stays; quotes of lines that
@@ -21,6 +21,8 @@ are read. Only built-in functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,12 +82,21 @@ def placed(links: DataFrame) -> DataFrame:
     # step out 0 goes into a message, 1 out of it; each points at the step before it
     into = F.struct(F.lit(0).alias("out"), F.coalesce("left", "parent").alias("turn_b"), F.when(F.col("left").isNotNull(), 1).otherwise(0).alias("out_b"), F.lit(1).alias("seen"), F.lit(1).alias("open"))
     outof = F.struct(F.lit(1).alias("out"), F.coalesce("last", "turn").alias("turn_b"), F.when(F.col("last").isNotNull(), 1).otherwise(0).alias("out_b"), F.lit(0).alias("seen"), F.lit(-1).alias("open"))
-    steps = scratch(tied.select(*node, F.explode(F.array(into, outof)).alias("s")).select(*node, "s.out", "s.turn_b", "s.out_b", F.col("s.seen").cast("long").alias("seen"), F.col("s.open").cast("long").alias("open")), "steps")
-    while not steps.where("turn_b is not null").isEmpty():
-        before = steps.select("conv_id", F.col("turn").alias("turn_b"), F.col("out").alias("out_b"), F.col("turn_b").alias("turn_c"), F.col("out_b").alias("out_c"), F.col("seen").alias("seen_b"), F.col("open").alias("open_b"))
-        sums = [(F.col(c) + F.coalesce(f"{c}_b", F.lit(0))).alias(c) for c in ("seen", "open")]
-        steps = scratch(steps.join(before, ["conv_id", "turn_b", "out_b"], "left").select(*node, "out", F.col("turn_c").alias("turn_b"), F.col("out_c").alias("out_b"), *sums), "steps")
-    return steps.where("out = 0").select(*node, (F.col("open") - 1).alias("depth"), (F.col("seen") - 1).alias("place"))
+    length = links.groupBy("conv_id").agg((2 * F.count("*")).alias("tour"))
+    exploded = tied.join(length, "conv_id").select(*node, "tour", F.explode(F.array(into, outof)).alias("s"))
+    steps = scratch(exploded.select(*node, "tour", "s.out", "s.turn_b", "s.out_b", F.col("s.seen").cast("long").alias("seen"), F.col("s.open").cast("long").alias("open")), "steps")
+    done, reach = [], 1
+    while True:  # each step has the sums of reach steps up to itself; tours no longer than that are done
+        done.append(steps.where(F.col("tour") <= reach))
+        going = steps.where(F.col("tour") > reach)
+        if going.isEmpty():
+            break
+        before = going.select("conv_id", F.col("turn").alias("turn_b"), F.col("out").alias("out_b"), F.col("turn_b").alias("turn_c"), F.col("out_b").alias("out_c"), F.col("seen").alias("seen_b"), F.col("open").alias("open_b"))
+        sums = [(F.col(c) + F.col(f"{c}_b")).alias(c) for c in ("seen", "open")]
+        further = going.where("turn_b is not null").join(before, ["conv_id", "turn_b", "out_b"]).select(*node, "tour", "out", F.col("turn_c").alias("turn_b"), F.col("out_c").alias("out_b"), *sums)
+        steps, reach = scratch(further.unionByName(going.where("turn_b is null")), "steps"), 2 * reach
+    ranked = reduce(DataFrame.unionByName, done).where("out = 0")
+    return ranked.select(*node, (F.col("open") - 1).alias("depth"), (F.col("seen") - 1).alias("place"))
 
 
 def quotation_links(messages: DataFrame, **columns: str) -> DataFrame:
