@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from .columns import any_of, infinite_to_missing, is_infinite, is_missing, numeric_columns, percentage, quoted
+from .medians import checked_broadcast, grouped_medians, same
 
 
 def label_counts(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -48,10 +49,13 @@ def describe_by_label(df: DataFrame, columns: list[str], label: str, by: tuple[s
     long = clean.select(*[quoted(c) for c in by], quoted(label).alias("label"), *[quoted(c).cast("double").alias(c) for c in columns]).unpivot([*by, "label"], columns, "feature", "value")
     value = F.col("value")
     stats = long.groupBy(*by, "label", "feature").agg(
-        F.count(value).alias("n"), F.count_if(value.isNull()).alias("n_missing"), F.avg(value).alias("mean"), F.median(value).alias("median"),
+        F.count(value).alias("n"), F.count_if(value.isNull()).alias("n_missing"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
     )
-    return stats.where("n > 0")
+    names = [*by, "label", "feature"]
+    medians = grouped_medians(long, names).toDF(*[f"_k{i}" for i in range(len(names))], "median")
+    joined = stats.where("n > 0").join(checked_broadcast(medians), same([quoted(k) for k in names], [F.col(f"_k{i}") for i in range(len(names))]))
+    return joined.select(*[quoted(k) for k in names], "n", "n_missing", "mean", "median", "std", "min", "max")
 
 
 def reconcile(found: DataFrame, expected: DataFrame, key: str) -> DataFrame:

@@ -6,20 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import infinite_to_missing, quoted
+from .medians import checked_broadcast, grouped_medians, same
 
 
 def impute_medians(df: DataFrame, columns: list[str], keys: tuple[str, ...], fit_on: DataFrame | None = None) -> DataFrame:
     """Missing and infinite values become the median of the rows with the same keys; a group without values stays missing.
 
-    The medians are a small aggregate joined back, so the table itself is not sorted or shuffled for them. fit_on
-    takes them from other rows, such as a training split. A null key is a key.
+    The medians are one row per group and broadcast where those are few, so the table itself is not sorted or
+    shuffled for them. fit_on takes them from other rows, such as a training split. A null key is a key.
     """
     clean = infinite_to_missing(df, columns)
     base = clean if fit_on is None else infinite_to_missing(fit_on, columns)
-    medians = base.groupBy(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(*[F.median(quoted(c)).alias(f"_m{i}") for i, c in enumerate(columns)])
-    on = [quoted(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    filled = {c: F.coalesce(quoted(c), F.col(f"_m{i}")) for i, c in enumerate(columns)}
-    return clean.join(medians, on, "left").select(*[filled.get(c, quoted(c)).alias(c) for c in df.columns])
+    by, values = [f"_k{i}" for i in range(len(keys))], [f"_m{i}" for i in range(len(columns))]
+    narrow = base.select(*[quoted(k).alias(n) for k, n in zip(keys, by, strict=True)], *[quoted(c).cast("double").alias(m) for c, m in zip(columns, values, strict=True)])
+    long = grouped_medians(narrow.unpivot(by, values, "feature", "value"), [*by, "feature"])
+    medians = long.groupBy(*by).agg(*[F.min(F.when(F.col("feature") == m, F.col("median"))).alias(m) for m in values])
+    filled = {c: F.coalesce(quoted(c), F.col(m)) for c, m in zip(columns, values, strict=True)}
+    on = same([quoted(k) for k in keys], [F.col(n) for n in by])
+    return clean.join(checked_broadcast(medians), on, "left").select(*[filled.get(c, quoted(c)).alias(c) for c in df.columns])
 
 
 def mapped(label: Column, mapping: dict[str, str]) -> Column:

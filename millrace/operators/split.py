@@ -24,8 +24,8 @@ from .columns import percentage, quoted
 RATIOS = {"train": 0.70, "validation": 0.15, "test": 0.15}
 LABEL_WEIGHT, GLOBAL_WEIGHT, CONFLICT_WEIGHT, CROSS_SOURCE_WEIGHT = 0.75, 0.25, 3.0, 1.5
 RARE_RECORDS, TIE_MODULUS = 1000, 997
-#: Hex digits of an id that make a bucket of the prefix sums.
-DIGITS = 3
+#: Hex digits of an id that make a bucket of the prefix sums: 65,536 buckets a label, one row each in the second sums.
+DIGITS = 4
 
 
 def splits_table(df: DataFrame, ratios: dict[str, float] = RATIOS) -> DataFrame:
@@ -46,9 +46,9 @@ def by_share(share: Column, ratios: dict[str, float] = RATIOS) -> Column:
     return F.lit(names[-1]) if out is None else out.otherwise(names[-1])
 
 
-def split_windowed(groups: DataFrame, ratios: dict[str, float] = RATIOS) -> DataFrame:
-    """groups with split. Groups without a label are a label of their own."""
-    rows = groups.withColumn("_label", F.coalesce(F.get("labels", F.lit(0)), F.lit(""))).withColumn("_bucket", F.substring("feature_group_id", 1, DIGITS))
+def split_windowed(groups: DataFrame, ratios: dict[str, float] = RATIOS, digits: int = DIGITS) -> DataFrame:
+    """groups with split, the same for any digits. Groups without a label are a label of their own."""
+    rows = groups.withColumn("_label", F.coalesce(F.get("labels", F.lit(0)), F.lit(""))).withColumn("_bucket", F.substring("feature_group_id", 1, digits))
     sums = rows.groupBy("_label", "_bucket").agg(F.sum("row_count").alias("n"))
     per_label = Window.partitionBy("_label")
     before = per_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
