@@ -12,11 +12,13 @@ import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 TIDY_SECONDS = 4
 _written: list[str] = []
 _tidied = 0.0
+_trims = True
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,12 +37,37 @@ def _path(spark: SparkSession, where: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def trim_native(spark: SparkSession) -> None:
+    """Returns native memory that the driver's JVM has freed to the system.
+
+    Plans of many exchanges run on hundreds of driver threads, and glibc keeps what each of them frees. Done by
+    the JVM's own command, through MBeanServer's method since the server's class is not open to py4j. A JVM
+    without it (before 17.0.9, or not on Linux) is left as it is.
+    """
+    global _trims
+    if not _trims:
+        return
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    try:
+        texts, objects = jvm.java.lang.String, jvm.java.lang.Object
+        kinds = ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")
+        command = (jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", gateway.new_array(objects, 0), gateway.new_array(texts, 0))
+        types, args = gateway.new_array(jvm.java.lang.Class, len(kinds)), gateway.new_array(objects, len(kinds))
+        for k, (kind, value) in enumerate(zip(kinds, command, strict=True)):
+            types[k], args[k] = jvm.java.lang.Class.forName(kind), value
+        invoke = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethod("invoke", types)
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        _trims = False
+
+
 def tidy(spark: SparkSession) -> None:
     """Lets the driver drop what finished jobs leave, at most every TIDY_SECONDS: Spark deletes shuffle files once nothing on the driver refers to them, which is seldom noticed within a job."""
     global _tidied
     if time.monotonic() - _tidied > TIDY_SECONDS:
         gc.collect()
         spark._jvm.System.gc()
+        trim_native(spark)
         _tidied = time.monotonic()
 
 
